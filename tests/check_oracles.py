@@ -1,0 +1,75 @@
+"""Compare queries with their SQL twins: ``python tests/check_oracles.py <sf> [name ...]``."""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+import __spark_entry__ as entry  # noqa: E402
+from reelmeter.session import get_spark  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _cell(x):
+    if x is None:
+        return ""
+    if isinstance(x, float):
+        return "nan" if math.isnan(x) else repr(x + 0.0)
+    return str(x)
+
+
+def _rows(table):
+    names = sorted(table.column_names)
+    columns = [table.column(n).to_pylist() for n in names]
+    return names, sorted(tuple(_cell(x) for x in row) for row in zip(*columns))
+
+
+def compare(spark, con, name: str, sf_dir: str) -> str:
+    """Empty when equal, otherwise what differs."""
+    mine = entry.queries()[name](spark, sf_dir).toArrow()
+    theirs = con.execute(entry.oracle_sql()[name]).to_arrow_table()
+    (names, rows), (want_names, want) = _rows(mine), _rows(theirs)
+    if names != want_names:
+        return f"columns {names} != {want_names}"
+    if len(rows) != len(want):
+        return f"rows {len(rows)} != {len(want)}"
+    differing = [(a, b) for a, b in zip(rows, want) if a != b]
+    if differing:
+        return f"{len(differing)} of {len(rows)} rows differ, e.g. {differing[0]}"
+    types = {f.name: str(f.type).replace("large_", "") for f in mine.schema}
+    want_types = {f.name: str(f.type).replace("large_", "") for f in theirs.schema}
+    if types != want_types:
+        return f"types {({n: (types[n], want_types[n]) for n in types if types[n] != want_types[n]})}"
+    return ""
+
+
+if __name__ == "__main__":
+    sf_dir = f"/root/testdata/sf{sys.argv[1]}"
+    spark, con = get_spark(master="local[8]"), connect(sf_dir)
+    spark.sparkContext.setLogLevel("ERROR")
+    for name in sys.argv[2:] or list(entry.queries()):
+        start = time.time()
+        try:
+            if name in entry.oracle_sql():
+                verdict = compare(spark, con, name, sf_dir) or "ok"
+            else:
+                verdict = f"rows only: {entry.queries()[name](spark, sf_dir).count()}"
+        except Exception as e:  # noqa: BLE001
+            verdict = f"{type(e).__name__}: {str(e)[:700]}"
+        print(f"{name:32s} {time.time() - start:6.2f}s  {verdict}", flush=True)
