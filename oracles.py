@@ -250,6 +250,7 @@ ORACLES: dict[str, str] = {
           / [0.229, 0.224, 0.225][pos % 3 + 1]::DOUBLE)::FLOAT::DOUBLE, 4) AS x FROM p""",
     "score_batches": """SELECT doc_id, CASE WHEN lang <> 'fr' THEN length(text)::DOUBLE END AS score,
         CASE WHEN lang = 'fr' THEN 'ValueError: language not supported' END AS error FROM documents""",
+    "error_rows": "SELECT doc_id, 'ValueError: refused' AS error FROM labels WHERE toxic = 1",
     "prompt_fanout": f"SELECT doc_id, p_idx, prompt FROM documents, (VALUES {PROMPT_ROWS}) AS p(p_idx, prompt)",
     "question_fanout": f"""SELECT c_custkey AS clip_id, q_idx, question, weight FROM customer,
         (VALUES {QUESTION_ROWS}) AS q(q_idx, question, weight)""",

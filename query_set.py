@@ -13,7 +13,7 @@ import stand_ins as s
 from reelmeter.functions import text, vectors, video
 from reelmeter.functions.frames import black_region, crop_boundary, to_gray
 from reelmeter.operators import cropping, metrics, motion, ordering, runlog, sampling, scoring
-from reelmeter.session import scratch_path
+from reelmeter.session import scratch_path, task_count
 from reelmeter.sources import files, results
 from reelmeter.streaming import runs as streams
 
@@ -431,14 +431,14 @@ def score_batches(spark, sf):
 
     scored = scoring.score_batches(
         s.table(spark, sf, "documents").select("doc_id", "lang", "text"),
-        lambda: {"refused": "fr"}, infer, T._parse_datatype_string("struct<score:double>"), ["doc_id"], 1,
+        lambda: {"refused": "fr"}, infer, T._parse_datatype_string("struct<score:double>"), ["doc_id"], 1, task_count(spark),
     )
     return scored.select("doc_id", F.col("result.score").alias("score"), "error")
 
 
 @query
 def error_rows(spark, sf):
-    """A batch with a refused item fails as a whole; which items share a batch is up to the partitions."""
+    """Failures of single-item batches, kept apart from results."""
 
     def infer(model, batch):
         if (batch["toxic"] == 1).any():
@@ -447,7 +447,7 @@ def error_rows(spark, sf):
 
     scored = scoring.score_batches(
         s.table(spark, sf, "labels"), lambda: None, infer,
-        T._parse_datatype_string("struct<score:double>"), ["doc_id"], 4,
+        T._parse_datatype_string("struct<score:double>"), ["doc_id"], 1, task_count(spark),
     )
     return scoring.error_rows(scored).select("doc_id", "error")
 

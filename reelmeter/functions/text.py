@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,13 +50,12 @@ def bucket(label: Column, buckets=SUBJECT_BUCKETS, other: str = OTHER_BUCKET) ->
     lowered = F.lower(label)
     chain = F
     for name, words in buckets:
-        chain = chain.when(lowered.rlike("|".join(re.escape(w) for w in words)), F.lit(name))
+        chain = chain.when(reduce(or_, [F.contains(lowered, F.lit(w)) for w in words]), F.lit(name))
     return chain.otherwise(F.lit(other))
 
 
-def clock_label(seconds: Column) -> Column:
-    """``frame_MM:SS.png`` of the whole seconds; minutes run past 59."""
-    whole = F.floor(seconds).cast("bigint")
+def clock_label(second: Column) -> Column:
+    """``frame_MM:SS.png`` of a whole second; minutes run past 59."""
     return F.format_string(
-        "frame_%02d:%02d.png", F.floor(whole / 60).cast("bigint"), F.pmod(whole, F.lit(60))
+        "frame_%02d:%02d.png", F.floor(second / 60).cast("bigint"), F.pmod(second, F.lit(60))
     )

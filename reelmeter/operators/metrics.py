@@ -135,26 +135,46 @@ def bucketed_counts(frames: DataFrame, detections: DataFrame, buckets=SUBJECT_BU
     )
 
 
-def raw_counts(frames: DataFrame, detections: DataFrame) -> DataFrame:
-    """Map of label to count per frame plus ``total``; its size is the number of classes."""
+def frame_counts(frames: DataFrame, detections: DataFrame, buckets=SUBJECT_BUCKETS) -> DataFrame:
+    """Per frame, the map of label to count (plus ``total``) and the bucket counts.
+
+    One pass: detections shrink to counts per label before the shuffle, and
+    both counts are read off the labels of a frame. The map has no more
+    entries than the detector has classes.
+    """
+    names = _bucket_names(buckets)
+    label_bucket = bucket(F.col("label"), buckets)
+    named = F.when(F.col("label") != "total", F.struct("label", F.col("n").cast("int")))
     counted = (
         label_counts(detections)
-        .where("label != 'total'")
+        .withColumn("_b", label_bucket)
         .groupBy("clip_id", "frame_no")
         .agg(
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", F.col("n").cast("int"))))).alias("_m"),
-            F.sum("n").cast("int").alias("_t"),
+            F.map_from_entries(F.array_sort(F.collect_list(named))).alias("_m"),
+            F.sum(F.when(F.col("label") != "total", F.col("n"))).cast("int").alias("_t"),
+            *[F.sum(F.when(F.col("_b") == name, F.col("n"))).cast("int").alias(name) for name in names],
+            F.sum("n").cast("int").alias("total"),
         )
     )
     empty = F.create_map().cast("map<string,int>")
-    total = F.create_map(F.lit("total"), F.coalesce("_t", F.lit(0)))
+    labelled_total = F.create_map(F.lit("total"), F.coalesce("_t", F.lit(0)))
     return (
         frames.select("clip_id", "frame_no")
         .join(counted, ["clip_id", "frame_no"], "left")
-        .select("clip_id", "frame_no", F.map_concat(F.coalesce("_m", empty), total).alias("raw_counts"))
+        .select(
+            "clip_id",
+            "frame_no",
+            F.map_concat(F.coalesce("_m", empty), labelled_total).alias("raw_counts"),
+            F.struct(*[F.coalesce(n, F.lit(0)).alias(n) for n in (*names, "total")]).alias("bucketed_counts"),
+        )
     )
 
 
+def raw_counts(frames: DataFrame, detections: DataFrame) -> DataFrame:
+    """Map of lower-cased label to count per frame, plus ``total``."""
+    return frame_counts(frames, detections).select("clip_id", "frame_no", "raw_counts")
+
+
 def subject_averages(
     clips: DataFrame,
     frames: DataFrame,
@@ -192,13 +212,8 @@ def subjects(
     clips: DataFrame, frames: DataFrame, detections: DataFrame, part_frames: int = PART_FRAMES
 ) -> DataFrame:
     """Averages and map of frame to its raw and bucketed counts."""
-    names = [*_bucket_names(SUBJECT_BUCKETS), "total"]
-    per_frame = raw_counts(frames, detections).join(
-        bucketed_counts(frames, detections), ["clip_id", "frame_no"]
-    )
-    counts = F.struct(
-        "raw_counts", F.struct(*[F.col(n).cast("int").alias(n) for n in names]).alias("bucketed_counts")
-    )
+    per_frame = frame_counts(frames, detections)
+    counts = F.struct("raw_counts", "bucketed_counts")
     parts = frame_parts(
         per_frame, "frame_no", F.col("frame_no").cast("int"), counts, "frame_counts", part_frames
     )

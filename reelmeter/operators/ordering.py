@@ -14,22 +14,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmeter.session import at_most, stored
+from reelmeter.session import at_most, stored, task_count
 
 # Largest group one window task may sort. Above it, rows are segmented.
 MAX_GROUP_ROWS = 1_000_000
-# Largest per-clip table that is sent to every executor (a few dozen bytes a row).
+# Largest per-key table that is sent to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 # Copies of a per-clip row in the salted join used above that size.
 SALTS = 64
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row offset in the low 33 bits
 
 
-def _range_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     """Rows of the largest group; reads the key columns only."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
@@ -43,7 +40,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Data
     partition is the only thing that is combined across tasks.
     """
     ranged = (
-        df.repartitionByRange(_range_count(df), *order)
+        df.repartitionByRange(task_count(df.sparkSession), *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -99,7 +96,7 @@ def prefix_sums(
         return df.select("*", *[running(n, *group).alias(n) for n in sums]).drop(*values)
 
     ranged = stored(
-        df.repartitionByRange(_range_count(df), *group, *order).withColumn(
+        df.repartitionByRange(task_count(df.sparkSession), *group, *order).withColumn(
             "_seg", F.spark_partition_id()
         ),
         "prefix-sums",
@@ -162,16 +159,21 @@ def attach(
     on: str,
     spread: Column,
     how: str = "inner",
+    store: bool = True,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join many rows per key to one row per key, whatever the key's share.
 
-    The small side is broadcast only after its size was checked. Beyond that,
+    The small side is broadcast only after its size was checked; ``store``
+    writes it down first, so that a computed one is not computed again for
+    the check. Beyond that size,
     both sides are salted: ``spread`` (an integer that varies inside a key,
     such as the frame number) picks one of ``SALTS`` copies of the per-key row,
     so a key that holds a third of the table is shared by that many tasks.
     """
-    if at_most(per_key, max_broadcast_rows):
+    if store:
+        per_key = stored(per_key, "per-key")
+    if at_most(per_key, max_broadcast_rows, MAX_BROADCAST_BYTES):
         return rows.join(F.broadcast(per_key), on, how)
     salted = rows.withColumn("_salt", F.pmod(spread.cast("bigint"), F.lit(SALTS)).cast("int"))
     copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -11,23 +11,31 @@ from pyspark.sql import types as T
 from reelmeter.functions.text import clock_label
 from reelmeter.functions.video import duration
 from reelmeter.operators.ordering import attach, dense_index
+from reelmeter.session import task_count
 
 _BLOCK = 1 << 16
 
 
-def explode_range(df: DataFrame, count: Column, name: str) -> DataFrame:
-    """One row per integer ``0 .. count-1``; no array is longer than one block."""
+def explode_range(df: DataFrame, count: Column, name: str, spread: bool = False) -> DataFrame:
+    """One row per integer ``0 .. count-1``; no array is longer than one block.
+
+    ``spread`` shuffles the blocks (a few numbers each) before they are
+    unfolded, so that neither few input splits nor one very long clip leaves
+    the unfolding to few tasks.
+    """
     keep = df.columns
-    return (
+    blocks = (
         df.withColumn("_n", count.cast("bigint"))
         .where("_n > 0")
         .withColumn("_from", F.explode(F.expr(f"sequence(0L, _n - 1, {_BLOCK}L)")))
-        .select(
-            *keep,
-            F.explode(
-                F.sequence(F.col("_from"), F.least(F.col("_from") + (_BLOCK - 1), F.col("_n") - 1))
-            ).alias(name),
-        )
+    )
+    if spread:
+        blocks = blocks.repartition(task_count(df.sparkSession), "clip_id", "_from")
+    return blocks.select(
+        *keep,
+        F.explode(
+            F.sequence(F.col("_from"), F.least(F.col("_from") + (_BLOCK - 1), F.col("_n") - 1))
+        ).alias(name),
     )
 
 
@@ -82,7 +90,7 @@ def sample_times(
     clips = meta.select(
         "clip_id", "fps", "total_frames", duration(F.col("fps"), F.col("total_frames")).alias("_d")
     )
-    grid = explode_range(clips, F.ceil(F.col("_d") / F.lit(step)) + 2, "sample_no")
+    grid = explode_range(clips, F.ceil(F.col("_d") / F.lit(step)) + 2, "sample_no", spread=True)
     t = F.col("t_s")
     inside = (t <= F.col("_d")) if include_end else (t < F.col("_d"))
     if discard_last is not None:
@@ -119,10 +127,9 @@ def sample_timestamped(
             frames.select("clip_id", "frame_no").distinct(), ["clip_id", "frame_no"], "left_semi"
         )
     return (
-        samples.withColumn("label", clock_label(F.col("t_s")))
-        .groupBy("clip_id", "label")
+        samples.groupBy("clip_id", F.floor("t_s").cast("bigint").alias("second"))
         .agg(F.max(F.struct("sample_no", "frame_no")).alias("last"))
-        .select("clip_id", "label", F.col("last.frame_no").alias("frame_no"))
+        .select("clip_id", clock_label(F.col("second")).alias("label"), F.col("last.frame_no").alias("frame_no"))
     )
 
 
@@ -240,7 +247,7 @@ def trim_plan(meta: DataFrame, discard_last: float) -> DataFrame:
 def apply_trim(frames: DataFrame, plan: DataFrame) -> DataFrame:
     """Frames before the planned end; clips that cannot be trimmed keep all frames."""
     limits = plan.select("clip_id", "status", "frames_to_keep")
-    joined = attach(frames, limits, "clip_id", F.col("frame_no"))
+    joined = attach(frames, limits, "clip_id", F.col("frame_no"), store=False)
     keep = (F.col("status") != "trimmed") | (F.col("frame_no") < F.col("frames_to_keep"))
     return joined.where(keep).drop("status", "frames_to_keep")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _now_us() -> int:
+    return time.time_ns() // 1000
+
+
 def score_batches(
     items: DataFrame,
     load_fn: Callable[[], Any],
@@ -18,6 +23,7 @@ def score_batches(
     result_type: T.DataType,
     keys: Sequence[str],
     batch_size: int = 32,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows (*keys, result, error, started, finished): one per input, in batches.
 
@@ -25,8 +31,9 @@ def score_batches(
     ``infer_fn(model, batch)`` gets a pandas frame of up to ``batch_size``
     items, across clips, and returns one output per item in order. When it
     raises or returns another number of outputs, every item of that batch
-    becomes an error row. Nothing is shuffled: spread heavy items over
-    partitions by id and path before pixels are read.
+    becomes an error row. Nothing is shuffled unless ``partitions`` is given,
+    which spreads light items (ids, paths, short text) by their keys so that
+    few input splits do not mean few model workers; never do that with pixels.
     """
     fields = [items.schema[k] for k in keys]
     schema = T.StructType(
@@ -39,25 +46,34 @@ def score_batches(
         ]
     )
 
+    names = list(keys)
+
     def run(batches):
         model = load_fn()
         for pdf in batches:
+            results, errors, started, finished = [], [], [], []
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start : start + batch_size].reset_index(drop=True)
-                error, started = None, pd.Timestamp.now(tz="UTC")
+                n, error, begin = len(part), None, _now_us()
                 try:
                     outputs = list(infer_fn(model, part))
-                    if len(outputs) != len(part):
-                        raise ValueError(f"{len(outputs)} outputs for {len(part)} items")
+                    if len(outputs) != n:
+                        raise ValueError(f"{len(outputs)} outputs for {n} items")
                 except Exception as failure:
-                    outputs = [None] * len(part)
-                    error = f"{type(failure).__name__}: {failure}"
-                out = part[list(keys)].copy()
-                out["result"] = pd.Series(outputs, dtype=object)
-                out["error"] = pd.Series([error] * len(part), dtype=object)
-                out["started"], out["finished"] = started, pd.Timestamp.now(tz="UTC")
-                yield out
-
+                    outputs, error = [None] * n, f"{type(failure).__name__}: {failure}"
+                results += outputs
+                errors += [error] * n
+                started += [begin] * n
+                finished += [_now_us()] * n
+            out = pdf[names].copy()
+            out["result"] = pd.Series(results, dtype=object, index=out.index)
+            out["error"] = pd.Series(errors, dtype=object, index=out.index)
+            out["started"] = pd.to_datetime(started, unit="us", utc=True)
+            out["finished"] = pd.to_datetime(finished, unit="us", utc=True)
+            yield out
+
+    if partitions is not None:
+        items = items.repartition(partitions, *names)
     return items.mapInPandas(run, schema)
 
 

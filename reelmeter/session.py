@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "reelmeter", master: str | None = None, **conf: str) -> SparkSession:
@@ -65,6 +66,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` holds no more than ``rows`` rows."""
-    return df.count() <= rows
+def at_most(df: DataFrame, rows: int, size: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows and ``size`` bytes as JSON text."""
+    if df.count() > rows:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(text)).first()[0] or 0) <= size
+
+
+def task_count(spark: SparkSession) -> int:
+    """Partitions of an explicit repartitioning: those of the session's shuffles."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
