@@ -7,7 +7,6 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import stand_ins as s
 from reelmeter.functions import text, vectors, video
@@ -431,7 +430,7 @@ def score_batches(spark, sf):
 
     scored = scoring.score_batches(
         s.table(spark, sf, "documents").select("doc_id", "lang", "text"),
-        lambda: {"refused": "fr"}, infer, T._parse_datatype_string("struct<score:double>"), ["doc_id"], 1, task_count(spark),
+        lambda: {"refused": "fr"}, infer, "struct<score:double>", ["doc_id"], 1, task_count(spark),
     )
     return scored.select("doc_id", F.col("result.score").alias("score"), "error")
 
@@ -447,7 +446,7 @@ def error_rows(spark, sf):
 
     scored = scoring.score_batches(
         s.table(spark, sf, "labels"), lambda: None, infer,
-        T._parse_datatype_string("struct<score:double>"), ["doc_id"], 1, task_count(spark),
+        "struct<score:double>", ["doc_id"], 1, task_count(spark),
     )
     return scoring.error_rows(scored).select("doc_id", "error")
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmeter.session import at_most, stored, task_count
+from reelmeter.session import at_most, stored
 
 # Largest group one window task may sort. Above it, rows are segmented.
 MAX_GROUP_ROWS = 1_000_000
@@ -40,7 +40,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Data
     partition is the only thing that is combined across tasks.
     """
     ranged = (
-        df.repartitionByRange(task_count(df.sparkSession), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -96,9 +96,7 @@ def prefix_sums(
         return df.select("*", *[running(n, *group).alias(n) for n in sums]).drop(*values)
 
     ranged = stored(
-        df.repartitionByRange(task_count(df.sparkSession), *group, *order).withColumn(
-            "_seg", F.spark_partition_id()
-        ),
+        df.repartitionByRange(*group, *order).withColumn("_seg", F.spark_partition_id()),
         "prefix-sums",
     )
     totals = ranged.groupBy(*group, "_seg").agg(*[F.sum(v).alias(v) for v in values])

@@ -20,7 +20,7 @@ def score_batches(
     items: DataFrame,
     load_fn: Callable[[], Any],
     infer_fn: Callable[[Any, pd.DataFrame], Iterable],
-    result_type: T.DataType,
+    result_type: T.DataType | str,
     keys: Sequence[str],
     batch_size: int = 32,
     partitions: int | None = None,
@@ -35,6 +35,8 @@ def score_batches(
     which spreads light items (ids, paths, short text) by their keys so that
     few input splits do not mean few model workers; never do that with pixels.
     """
+    if isinstance(result_type, str):
+        result_type = T.DataType.fromDDL(result_type)
     fields = [items.schema[k] for k in keys]
     schema = T.StructType(
         [

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reelmeter.functions.text import base_name
 from reelmeter.operators import metrics
@@ -34,10 +33,6 @@ class Metric:
     items: Callable[[DataFrame], DataFrame]
     summarise: Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]
 
-    @property
-    def answer_type(self) -> T.DataType | None:
-        return None if self.answer is None else T._parse_datatype_string(self.answer)
-
 
 def _named(frames: DataFrame) -> DataFrame:
     """Frames with a ``file`` name; one made of the position if the source has no files."""

@@ -93,11 +93,10 @@ def run_metric(
     items = metric.items(asked)
     scored, done = None, ids
     if metric.answer is not None:
-        write_scored(
-            score_batches(items, model.load, model.infer, metric.answer_type, metric.keys, model.batch_size),
+        scored = write_scored(
+            score_batches(items, model.load, model.infer, metric.answer, metric.keys, model.batch_size),
             f"{root}/scored", metric.name, run_id,
         )
-        scored = spark.read.parquet(run_path(f"{root}/scored", metric.name, run_id)).drop("status")
         run_log(scored, metric.name).write.mode("overwrite").parquet(
             run_path(f"{root}/log", metric.name, run_id)
         )

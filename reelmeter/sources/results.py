@@ -27,19 +27,18 @@ def write_results(results: DataFrame, root: str, metric: str, run_id: str) -> No
     id_first(results).write.mode("overwrite").parquet(run_path(root, metric, run_id))
 
 
-def write_scored(scored: DataFrame, root: str, metric: str, run_id: str) -> None:
+def write_scored(scored: DataFrame, root: str, metric: str, run_id: str) -> DataFrame:
     """Store scored items and failures in one pass, split into ``status`` folders.
 
     One write means the model runs once although results and errors are
-    separate tables afterwards (``read_scored``).
+    separate tables afterwards (``read_scored``). Returns this run's rows.
     """
     status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
-    (
-        scored.withColumn("status", status)
-        .write.mode("overwrite")
-        .partitionBy("status")
-        .parquet(run_path(root, metric, run_id))
-    )
+    rows = scored.withColumn("status", status)
+    path = run_path(root, metric, run_id)
+    rows.write.mode("overwrite").partitionBy("status").parquet(path)
+    # the schema is given since a run with nothing left to score writes no file
+    return scored.sparkSession.read.schema(rows.schema).parquet(path).drop("status")
 
 
 def read_scored(spark: SparkSession, root: str, metric: str, ok: bool = True) -> DataFrame | None:

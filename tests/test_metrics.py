@@ -1,0 +1,147 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelmeter.functions import vectors
+from reelmeter.operators import metrics
+from reelmeter.sources.files import default_questions, drop_prompt_questions
+
+ALL_YES = 0.15109870265788475
+
+
+@pytest.fixture(scope="module")
+def clips(spark):
+    return spark.createDataFrame([("a",), ("b",), ("none",)], "clip_id string")
+
+
+@pytest.mark.parametrize("part_frames", [3, 4096])
+def test_aesthetics(spark, clips, part_frames):
+    rows = [("a", n, float(n * n)) for n in range(10)] + [("b", 0, 2.0)]
+    scores = spark.createDataFrame(rows, "clip_id string, sample_no bigint, score double").repartition(5)
+    result = metrics.aesthetics(clips, scores, part_frames).withColumn("keys", F.map_keys("frame_aesthetic_scores"))
+    got = result.orderBy("clip_id", "part_no").collect()
+    frames = {}
+    for r in got:
+        assert r.clip_id == "none" or len(r.frame_aesthetic_scores) <= part_frames
+        frames.setdefault(r.clip_id, {}).update(r.frame_aesthetic_scores)
+        assert r["keys"] == sorted(r["keys"])
+    assert frames == {"a": {n: float(n * n) for n in range(10)}, "b": {0: 2.0}, "none": {}}
+    means = {r.clip_id: r.avg_aesthetic_score for r in got}
+    assert means["a"] == 28.5 and means["b"] == 2.0 and math.isnan(means["none"])
+    assert len([r for r in got if r.clip_id == "a"]) == math.ceil(10 / part_frames)
+
+
+def test_nsfw_and_watermark_maps(spark, clips):
+    labels = spark.createDataFrame(
+        [("a", 0, "0.jpg", "nsfw"), ("a", 1, "1.jpg", "normal"), ("b", 0, "0.jpg", "NSFW")],
+        "clip_id string, sample_no bigint, file string, label string",
+    )
+    got = {r.clip_id: r for r in metrics.nsfw(clips, labels).collect()}
+    assert (got["a"].avg_nsfw_score, got["b"].avg_nsfw_score) == (0.5, 0.0)
+    assert got["a"].frame_nsfw_results == {"0.jpg": "nsfw", "1.jpg": "normal"}
+    scores = labels.withColumn("score", F.col("sample_no") + 0.25)
+    got = {r.clip_id: r for r in metrics.watermark(clips, scores).collect()}
+    assert got["a"].avg_watermark_score == 0.75 and got["a"].frame_watermark_results == {"0.jpg": 0.25, "1.jpg": 1.25}
+
+
+def test_subjects(spark, clips):
+    frames = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0)], "clip_id string, frame_no int")
+    found = spark.createDataFrame(
+        [("a", 0, "Person", 0.9), ("a", 0, "dog", 0.5), ("a", 1, "dog", 0.25), ("b", 0, "car", 0.3), ("b", 0, "car", 0.4)],
+        "clip_id string, frame_no int, label string, conf double",
+    )
+    got = {r.clip_id: r for r in metrics.subjects(clips, frames, metrics.confidence_filter(found)).collect()}
+    a, b, none = got["a"], got["b"], got["none"]
+    assert (a.avg_subjects, a.avg_humans, a.avg_animals) == (1.0, 0.5, 0.5)
+    assert (b.avg_subjects, none.avg_subjects, none.avg_humans) == (2.0, 0.0, 0.0)
+    assert a.frame_counts[0].raw_counts == {"person": 1, "dog": 1, "total": 2}
+    assert a.frame_counts[0].bucketed_counts.asDict() == {
+        "humans": 1, "animals": 1, "vehicles": 0, "food": 0, "others": 0, "total": 2,
+    }
+    assert a.frame_counts[1].raw_counts == {"total": 0}
+    assert set(a.frame_counts[1].bucketed_counts) == {0}
+    assert b.frame_counts[0].raw_counts == {"car": 2, "total": 2}
+    assert none.frame_counts == {}
+
+
+def test_shot_categories(spark, clips):
+    rows = [
+        ("a", 1, 1, {"L": "dark<pad><pad>"}), ("a", 1, 0, {"C": "red"}), ("a", 0, 0, {"C": "blue <pad>"}),
+        ("a", 0, 3, {"X": "wide"}), ("a", 0, 1, {"L": " day "}),
+    ]
+    answers = spark.createDataFrame(rows, "clip_id string, frame_no bigint, p_idx int, answer map<string,string>")
+    got = {r.clip_id: r.frame_shot_categorization for r in metrics.shot_categories(clips, answers).collect()}
+    assert got["a"] == {0: [{"C": "blue"}, {"L": " day "}, {"X": "wide"}], 1: [{"C": "red"}, {"L": "dark"}]}
+    assert got["none"] == {} and got["b"] == {}
+
+
+def votes(spark, answers):
+    questions = drop_prompt_questions(default_questions(spark))
+    rows = [("a", 3 + i, x) for i, x in enumerate(answers)]
+    random.Random(0).shuffle(rows)
+    table = spark.createDataFrame(rows, "clip_id string, q_idx int, answer string")
+    return metrics.vision_reward(table, questions).first()
+
+
+@pytest.mark.parametrize(
+    "answers, want",
+    [
+        (["yes"] * 26, ALL_YES),
+        (["no"] * 26, -ALL_YES),
+        (["yes"] + ["no"] * 25, -0.14840973955159947),
+        (["yes", "no"] * 13, 0.019174757969094507),
+        (["Yes", "yes "] * 13, -ALL_YES),
+    ],
+)
+def test_vision_reward(spark, answers, want):
+    got = votes(spark, answers)
+    assert got.avg_vision_reward == pytest.approx(want, abs=1e-12)
+    assert got.frame_wise_rewards == [1 if a == "yes" else -1 for a in answers]
+
+
+def test_folded_head_equals_layers(spark):
+    rng = np.random.default_rng(5)
+    sizes = [32, 24, 12, 6, 1]
+    layers = [(rng.normal(size=(o, i)), rng.normal(size=o)) for i, o in zip(sizes, sizes[1:])]
+    x = rng.normal(size=(40, 32)).astype("float32")
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "i int, e array<float>")
+    w, b = vectors.fold_affine(layers)
+    got = [r.s for r in df.repartition(3).select("i", vectors.aesthetic_head(F.col("e"), w, b).alias("s")).orderBy("i").collect()]
+    h = x.astype("float64")
+    h = h / np.linalg.norm(h, axis=1, keepdims=True)
+    for weights, bias in layers:
+        h = h @ weights.T + bias
+    assert np.allclose(got, h[:, 0])
+
+
+def test_watermark_head_full_size_and_batches(spark):
+    rng = np.random.default_rng(6)
+    sizes = [1536, 625, 256, 2]
+    layers = [(rng.normal(size=(o, i)) / 40, rng.normal(size=o)) for i, o in zip(sizes, sizes[1:])]
+    x = rng.normal(size=(20, 1536)).astype("float32")
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "i int, e array<float>")
+    h = x.astype("float64")
+    for k, (w, b) in enumerate(layers):
+        h = h @ w.T + b
+        h = np.maximum(h, 0) if k < 2 else h
+    want = np.exp(h[:, 0]) / np.exp(h).sum(axis=1)
+    for batch in (1, 7, 100):
+        score = vectors.watermark_head(F.col("e"), layers, batch)
+        got = [r.s for r in df.select("i", score.alias("s")).orderBy("i").collect()]
+        assert np.allclose(got, want)
+
+
+def test_argmax_first_on_ties(spark):
+    df = spark.createDataFrame([([1.0, 3.0, 3.0],), ([2.0, 1.0, 0.0],)], "x array<double>")
+    got = [r.l for r in df.select(vectors.argmax_label(F.col("x"), ("p", "q", "r")).alias("l")).collect()]
+    assert got == ["q", "p"]
+
+
+def test_image_normalise(spark):
+    df = spark.createDataFrame([(bytearray([0, 128, 255, 255, 0, 1]),)], "p binary")
+    got = df.select(vectors.image_normalise(F.col("p")).alias("x")).first().x
+    x = np.array([[0, 128, 255], [255, 0, 1]]) / 255
+    assert np.allclose(got, ((x - [0.485, 0.456, 0.406]) / [0.229, 0.224, 0.225]).ravel(), atol=1e-6)
