@@ -24,6 +24,7 @@ from reelmeter.fixed_values import (
     SCAN_START,
     SCAN_STEP,
 )
+from reelmeter.functions.arithmetic import evaluated_once
 from reelmeter.functions.vectors import as_bytes
 
 
@@ -45,7 +46,7 @@ def to_gray(pixels: Column, channels: Column) -> Column:
 
         return pd.Series([one(c, o) for c, o in zip(cells, orders)], dtype=object)
 
-    return luma(pixels, channels)
+    return evaluated_once(luma)(pixels, channels)
 
 
 def bright_share(gray: Column, height: Column, width: Column, darkness: int = DARKNESS) -> Column:
@@ -65,7 +66,7 @@ def bright_share(gray: Column, height: Column, width: Column, darkness: int = DA
             dtype=object,
         )
 
-    return count(gray, height, width)
+    return evaluated_once(count)(gray, height, width)
 
 
 def region_rows(height: Column, percent: Column | float) -> Column:
@@ -157,7 +158,7 @@ def gradient_sums(previous: Column, current: Column, height: Column, width: Colu
             dtype=object,
         )
 
-    return sums(previous, current, height, width)
+    return evaluated_once(sums)(previous, current, height, width)
 
 
 def area_weights(source: int, target: int) -> np.ndarray:
@@ -183,4 +184,4 @@ def downscale(values: Column, height: Column, width: Column, target_width: int)
             [one(m, int(h), int(w)) for m, h, w in zip(maps, heights, widths)], dtype=object
         )
 
-    return shrink(values, height, width)
+    return evaluated_once(shrink)(values, height, width)

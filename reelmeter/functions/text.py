@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reelmeter.fixed_values import OTHER_BUCKET, PAD, SUBJECT_BUCKETS
+from reelmeter.functions.arithmetic import whole
 
 
 def clean_title(title: Column) -> Column:
@@ -57,5 +58,5 @@ def bucket(label: Column, buckets=SUBJECT_BUCKETS, other: str = OTHER_BUCKET) ->
 def clock_label(second: Column) -> Column:
     """``frame_MM:SS.png`` of a whole second; minutes run past 59."""
     return F.format_string(
-        "frame_%02d:%02d.png", F.floor(second / 60).cast("bigint"), F.pmod(second, F.lit(60))
+        "frame_%02d:%02d.png", whole(second, 60), F.pmod(second, F.lit(60))
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelmeter.fixed_values import CHANNEL_DEVIATIONS, CHANNEL_MEANS
+from reelmeter.functions.arithmetic import evaluated_once
 
 
 def fold_affine(layers: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
@@ -45,7 +46,7 @@ def aesthetic_head(embedding: Column, weights: Sequence[float], bias: float) ->
         with np.errstate(divide="ignore", invalid="ignore"):
             return pd.Series(vectors @ w / norms + bias)
 
-    return score(embedding)
+    return evaluated_once(score)(embedding)
 
 
 def watermark_head(
@@ -74,7 +75,7 @@ def watermark_head(
         batch_size=batch_size,
         input_tensor_shapes=[[stack[0][0].shape[1]]],
     )
-    return run(features)
+    return evaluated_once(run)(features)
 
 
 def argmax_label(logits: Column, labels: Sequence[str]) -> Column:
@@ -100,7 +101,7 @@ def image_normalise(
 
         return batch.map(one)
 
-    return scale(pixels)
+    return evaluated_once(scale)(pixels)
 
 
 def as_bytes(cell) -> np.ndarray:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmeter.fixed_values import OTHER_BUCKET, SUBJECT_BUCKETS
+from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.text import bucket, strip_pad
 from reelmeter.operators.ordering import attach
 
@@ -32,7 +33,7 @@ def frame_parts(
     entry = F.struct(F.col(index).alias("i"), key.alias("k"), value.alias("v"))
     ordered = F.array_sort(F.collect_list(entry), by_field("i"))
     return (
-        rows.groupBy("clip_id", F.floor(F.col(index) / part_frames).cast("int").alias("part_no"))
+        rows.groupBy("clip_id", whole(index, part_frames).cast("int").alias("part_no"))
         .agg(ordered.alias("_e"))
         .select(
             "clip_id",

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.frames import downscale, gradient_sums
 from reelmeter.functions.vectors import as_bytes
 from reelmeter.operators.ordering import attach
@@ -30,7 +31,7 @@ def frame_pairs(
     one, so one shuffle suffices and no task holds more than a segment of a
     clip, however long the clip is. Shrink the payload (gray, small) before.
     """
-    seg = F.floor(F.col(index) / segment).cast("bigint")
+    seg = whole(index, segment)
     is_tail = F.pmod(F.col(index), F.lit(segment)) == segment - 1
     rows = frames.select(
         "clip_id",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelmeter.functions.arithmetic import whole
 from reelmeter.operators.ordering import MAX_GROUP_ROWS, prefix_sums
+from reelmeter.session import stored
 
 
 def run_summary(log: DataFrame, workers: int = 1) -> DataFrame:
@@ -46,7 +48,7 @@ def checkpoint_windows(
     success = F.col("error").isNull().cast("bigint")
     counted = prefix_sums(log, ["metric"], order, {"before": success}, max_group_rows)
     windows = (
-        counted.groupBy("metric", F.floor(F.col("before") / every).cast("bigint").alias("window_no"))
+        counted.groupBy("metric", whole("before", every).alias("window_no"))
         .agg(
             F.count(F.lit(1)).alias("items"),
             F.sum(success).alias("successes"),
@@ -54,8 +56,9 @@ def checkpoint_windows(
             F.min(F.unix_micros("started")).alias("first_start"),
         )
     )
-    # The previous window is an equality on its number, not a window function:
-    # a metric has as many windows as items / every.
+    # Written once, as it is read twice. The previous window is an equality on
+    # its number, not a window function: a metric has items / every windows.
+    windows = stored(windows, "checkpoint-windows")
     previous = windows.select(
         "metric", (F.col("window_no") + 1).alias("window_no"), F.col("end").alias("previous_end")
     )
@@ -80,8 +83,8 @@ def error_summary(log: DataFrame, shown: int = 5, width: int = 100) -> DataFrame
     failed = log.where(F.col("error").isNotNull())
     total = failed.agg(F.count(F.lit(1)).alias("n_errors"))
     first = failed.orderBy("seq").limit(shown)
-    return first.select("seq", "video_id", F.left("error", F.lit(width)).alias("message")).crossJoin(
-        F.broadcast(total)
+    return first.select(
+        "seq", "video_id", F.left("error", F.lit(width)).alias("message"), total.scalar().alias("n_errors")
     )
 
 
@@ -90,5 +93,5 @@ def metric_timing(log: DataFrame) -> DataFrame:
     per_metric = log.groupBy("metric").agg(
         ((F.max(F.unix_micros("finished")) - F.min(F.unix_micros("started"))) / F.lit(1e6)).alias("seconds")
     )
-    mean = per_metric.agg(F.avg("seconds").alias("mean_seconds"))
-    return per_metric.crossJoin(F.broadcast(mean))
+    every_metric = Window.partitionBy(F.lit(0))  # a handful of rows
+    return per_metric.withColumn("mean_seconds", F.avg("seconds").over(every_metric))

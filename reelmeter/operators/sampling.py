@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelmeter.functions.arithmetic import evaluated_once, whole
 from reelmeter.functions.text import clock_label
 from reelmeter.functions.video import duration
 from reelmeter.operators.ordering import attach, dense_index
@@ -70,7 +71,7 @@ def repeated_sum(k: Column, step: float) -> Column:
             out[here] = sums[counts[here] - b * _BLOCK]
         return pd.Series(out)
 
-    return add_up(k)
+    return evaluated_once(add_up)(k)
 
 
 def sample_times(
@@ -128,8 +129,8 @@ def sample_timestamped(
         )
     return (
         samples.groupBy("clip_id", F.floor("t_s").cast("bigint").alias("second"))
-        .agg(F.max(F.struct("sample_no", "frame_no")).alias("last"))
-        .select("clip_id", clock_label(F.col("second")).alias("label"), F.col("last.frame_no").alias("frame_no"))
+        .agg(F.max("frame_no").alias("frame_no"))  # grows with time, so the last is the largest
+        .select("clip_id", clock_label(F.col("second")).alias("label"), "frame_no")
     )
 
 
@@ -147,7 +148,7 @@ def stride(frames: DataFrame, every: int, index: str = "sample_no") -> DataFrame
     if every < 1:
         raise ValueError("every must be an integer >= 1")
     return frames.where(F.pmod(F.col(index), F.lit(every)) == 0).withColumn(
-        index, F.floor(F.col(index) / every).cast("bigint")
+        index, whole(index, every).cast("bigint")
     )
 
 
@@ -216,13 +217,13 @@ def sample_dir_stride(frames: DataFrame, n: int = 24, max_group_rows: int | None
     extra = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
     indexed = dense_index(frames.select("clip_id", "path"), ["clip_id"], ["path"], "frame_no", **extra)
     totals = frames.groupBy("clip_id").agg(F.count(F.lit(1)).alias("total"))
-    step = F.greatest(F.floor(F.col("total") / n), F.lit(1)).cast("bigint")
+    step = F.greatest(whole("total", n), F.lit(1))
     picked = attach(indexed, totals, "clip_id", F.col("frame_no")).withColumn("step", step)
     return picked.where(
-        (F.pmod("frame_no", "step") == 0) & (F.floor(F.col("frame_no") / F.col("step")) < n)
+        (F.pmod("frame_no", "step") == 0) & (whole("frame_no", F.col("step")) < n)
     ).select(
         "clip_id",
-        F.floor(F.col("frame_no") / F.col("step")).cast("bigint").alias("sample_no"),
+        whole("frame_no", F.col("step")).alias("sample_no"),
         "frame_no",
         "path",
     )

@@ -103,11 +103,29 @@ def run_log(scored: DataFrame, metric: str, key: str = "clip_id") -> DataFrame:
     )
 
 
+MAX_FANOUT = 1000
+
+
+def fan_out(rows: DataFrame, choices: DataFrame) -> DataFrame:
+    """Every row with every row of a small fixed table.
+
+    The table becomes a literal array that each row unfolds, so this is a
+    narrow step without a join. More than ``MAX_FANOUT`` choices are refused.
+    """
+    listed = choices.limit(MAX_FANOUT + 1).collect()
+    if len(listed) > MAX_FANOUT:
+        raise ValueError(f"more than {MAX_FANOUT} choices")
+    options = [
+        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in choices.schema]) for row in listed
+    ]
+    return rows.select("*", F.inline(F.array(*options)))
+
+
 def prompt_fanout(frames: DataFrame, prompts: DataFrame) -> DataFrame:
-    """Every frame with every prompt; the prompts are a fixed handful of rows."""
-    return frames.crossJoin(F.broadcast(prompts))
+    """Every frame with every prompt."""
+    return fan_out(frames, prompts)
 
 
 def question_fanout(clips: DataFrame, questions: DataFrame) -> DataFrame:
     """Every clip with every question; decode clips before this step, not after."""
-    return clips.crossJoin(F.broadcast(questions))
+    return fan_out(clips, questions)
