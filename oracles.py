@@ -158,12 +158,13 @@ ORACLES: dict[str, str] = {
                 WHERE i * 0.5::DOUBLE <= d AND round_even(i * 0.5::DOUBLE * fps, 0) < total_frames)
         SELECT clip_id, printf('frame_%02d:%02d.png', sec // 60, sec % 60) AS label, arg_max(frame_no, i) AS frame_no
         FROM smp GROUP BY clip_id, sec""",
-    "fetch_frames": f"""WITH {EVENT_FRAMES}, {EVENT_META},
+    "fetch_frames": (_FETCHED := f"""WITH {EVENT_FRAMES}, {EVENT_META},
         smp AS (SELECT clip_id, i AS sample_no, round_even(i * fps, 0)::INT AS frame_no
                 FROM em, unnest(range(0, ceil(total_frames / fps)::BIGINT + 1)) AS u(i)
                 WHERE i < total_frames / fps AND round_even(i * fps, 0) < total_frames)
         SELECT smp.clip_id, smp.sample_no, smp.frame_no, score FROM smp
-        JOIN ef ON ef.clip_id = smp.clip_id AND ef.sample_no = smp.frame_no""",
+        JOIN ef ON ef.clip_id = smp.clip_id AND ef.sample_no = smp.frame_no"""),
+    "sample_frames": _FETCHED.replace("smp.frame_no, score", "smp.frame_no::BIGINT AS frame_no, score"),
     "keyframes": "SELECT user_id AS clip_id, event_id AS frame_no, true AS is_key FROM events WHERE event_type = 'view'",
     "stride": f"WITH {EVENT_FRAMES} SELECT clip_id, sample_no // 3 AS sample_no, score FROM ef WHERE sample_no % 3 = 0",
     "sample_linspace": f"""WITH {PART_META}, n AS (SELECT clip_id, total_frames AS total, least(5, total_frames) AS n FROM pm WHERE total_frames > 0)
@@ -183,13 +184,13 @@ ORACLES: dict[str, str] = {
         r AS (SELECT clip_id, path, row_number() OVER (PARTITION BY clip_id ORDER BY path) - 1 AS frame_no,
                      greatest(count(*) OVER (PARTITION BY clip_id) // 24, 1) AS step FROM p WHERE doc_id % 4 <> 2)
         SELECT clip_id, frame_no // step AS sample_no, frame_no, path FROM r WHERE frame_no % step = 0 AND frame_no // step < 24""",
-    "to_gray_pixels": """WITH c AS (SELECT vec_id, list_transform(embedding[1:48], lambda x: ((floor(x::DOUBLE * 1000)::INT % 256) + 256) % 256) AS c
+    "to_gray": """WITH c AS (SELECT vec_id, list_transform(embedding[1:48], lambda x: ((floor(x::DOUBLE * 1000)::INT % 256) + 256) % 256) AS c
           FROM embeddings),
         p AS (SELECT vec_id, i, (4899 * c[3 * i + 3] + 9617 * c[3 * i + 2] + 1868 * c[3 * i + 1] + 8192) >> 14 AS y
               FROM c, unnest(range(0, 16)) AS u(i))
         SELECT vec_id, string_agg(printf('%02X', y), '' ORDER BY i) AS gray FROM p GROUP BY 1""",
-    "black_regions": f"WITH {GRAY} SELECT clip_id, frame_no, black_top AS \"top\", black_bottom AS bottom FROM lines",
-    "crop_boundaries": f"WITH {GRAY} SELECT clip_id, frame_no, smart_top AS \"top\", smart_bottom AS bottom FROM lines",
+    "black_region": f"WITH {GRAY} SELECT clip_id, frame_no, black_top AS \"top\", black_bottom AS bottom FROM lines",
+    "crop_boundary": f"WITH {GRAY} SELECT clip_id, frame_no, smart_top AS \"top\", smart_bottom AS bottom FROM lines",
     "frame_crop": f"""WITH {GRAY} SELECT clip_id, frame_no, CASE WHEN black_top THEN 2 END::INT AS top_crop,
         CASE WHEN black_bottom THEN 6 END::INT AS bottom_crop FROM lines""",
     "median_crop": f"""WITH {GRAY} SELECT clip_id, trunc(median(smart_top))::INT AS top_crop,

@@ -20,7 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -196,6 +196,13 @@ def fetch_frames(spark, sf):
     return sampling.fetch_frames(samples.select("clip_id", "sample_no", "frame_no"), frames)
 
 
+@query
+def sample_frames(spark, sf):
+    """The same frames chosen row by row, without a join on frame numbers."""
+    frames = s.event_frames(spark, sf).select("clip_id", F.col("sample_no").alias("frame_no"), "score")
+    return sampling.sample_frames(frames, s.event_meta(spark, sf)).drop("t_s")
+
+
 @query
 def keyframes(spark, sf):
     index = s.events(spark, sf).select(
@@ -243,7 +250,7 @@ def _bright(spark, sf):
 
 
 @query
-def to_gray_pixels(spark, sf):
+def to_gray_(spark, sf):
     colour = F.transform(
         F.slice("embedding", 1, 48), lambda x: F.pmod(F.floor(x.cast("double") * 1000), F.lit(256)).cast("int")
     )
@@ -251,7 +258,7 @@ def to_gray_pixels(spark, sf):
 
 
 @query
-def black_regions(spark, sf):
+def black_region_(spark, sf):
     args = F.col("bright"), F.col("height"), F.col("width")
     return _bright(spark, sf).select(
         "clip_id", "frame_no",
@@ -261,7 +268,7 @@ def black_regions(spark, sf):
 
 
 @query
-def crop_boundaries(spark, sf):
+def crop_boundary_(spark, sf):
     args = F.col("bright"), F.col("height"), F.col("width")
     return _bright(spark, sf).select(
         "clip_id", "frame_no",

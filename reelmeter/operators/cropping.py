@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reelmeter.fixed_values import BLACK_RATIO, BRIGHT_RATIO, DARKNESS, SCAN_END, SCAN_START, SCAN_STEP
 from reelmeter.functions.frames import black_region, bright_share, crop_boundary, region_rows, to_gray
 from reelmeter.operators.ordering import attach
-from reelmeter.operators.sampling import fetch_frames, sample_linspace
+from reelmeter.operators.sampling import frames_at, linspace_numbers
 
 
 def gray_frames(frames: DataFrame) -> DataFrame:
@@ -83,10 +83,11 @@ def clip_crop_plan(
 ) -> DataFrame:
     """Crop plan per clip from a few evenly spaced frames.
 
-    Sampled frame numbers come from metadata, so the pixels of other frames
-    are dropped at the join. A clip without a readable frame is skipped.
+    Sampled frame numbers come from metadata and are matched where the frames
+    are, so no pixels move. A clip without a readable frame is skipped.
     """
-    sampled = fetch_frames(sample_linspace(meta, sample_frames).select("clip_id", "frame_no"), frames)
+    numbers = linspace_numbers(F.col("total_frames"), sample_frames)
+    sampled = frames_at(frames, meta.select("clip_id", numbers.alias("wanted")))
     gray = gray_frames(sampled) if "gray" not in frames.columns else sampled
     medians = median_crop(frame_crop(row_brightness(gray, darkness), **rules))
     every_clip = meta.select("clip_id", F.col("height").alias("meta_height")).join(

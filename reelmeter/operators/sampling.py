@@ -135,10 +135,63 @@ def sample_timestamped(
 
 
 def fetch_frames(samples: DataFrame, frames: DataFrame) -> DataFrame:
-    """Pixels of the sampled frames; keyed by clip and frame, so a long clip spreads out."""
+    """Pixels of the sampled frames; keyed by clip and frame, so a long clip spreads out.
+
+    A general join moves the pixels of all frames. Use ``sample_frames`` or
+    ``frames_at`` where the choice can be made row by row, or a decoder that
+    reads only what ``samples`` names.
+    """
     return samples.join(frames, ["clip_id", "frame_no"])
 
 
+def sample_frames(
+    frames: DataFrame,
+    meta: DataFrame,
+    desired_fps: float | None = None,
+    discard_last: float | None = None,
+) -> DataFrame:
+    """``fetch_frames(sample_uniform(...), frames)`` without moving pixels.
+
+    Whether a frame is sampled, and as which sample, follows from its number
+    and its clip's metadata: the few sample times that could round to it are
+    tried in place. Metadata reaches the frames by ``attach`` (a broadcast up
+    to its size bound). Steps whose sums round need the general join.
+    """
+    step = 1.0 / desired_fps if desired_fps and desired_fps > 0 else 1.0
+    if not _step_is_exact(step):
+        return fetch_frames(sample_uniform(meta, desired_fps, discard_last), frames)
+    clips = meta.where("fps > 0").select(
+        "clip_id",
+        F.col("fps").cast("double").alias("_fps"),
+        F.col("total_frames").alias("_total"),
+        duration(F.col("fps"), F.col("total_frames")).alias("_d"),
+    )
+    joined = attach(frames, clips, "clip_id", F.col("frame_no"), store=False)
+    no, spacing = F.col("frame_no").cast("double"), F.col("_fps") * step
+    low = F.greatest(F.lit(0), F.floor((no - 0.5) / spacing) - 1).cast("bigint")
+    high = (F.ceil((no + 0.5) / spacing) + 1).cast("bigint")
+
+    def is_sample(k: Column) -> Column:
+        t = k * F.lit(step)
+        hit = (F.rint(t * F.col("_fps")) == no) & (t < F.col("_d"))
+        if discard_last is not None:
+            hit = hit & (t <= F.col("_d") - F.lit(float(discard_last)))
+        return hit
+
+    return (
+        joined.where(no < F.col("_total"))
+        .withColumn("sample_no", F.explode(F.filter(F.sequence(low, high), is_sample)))
+        .withColumn("t_s", F.col("sample_no") * F.lit(step))
+        .drop("_fps", "_total", "_d")
+    )
+
+
+def frames_at(frames: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Frames whose number is in their clip's (short) ``wanted`` array; pixels stay in place."""
+    joined = attach(frames, wanted.select("clip_id", "wanted"), "clip_id", F.col("frame_no"), store=False)
+    return joined.where(F.array_contains("wanted", F.col("frame_no").cast("int"))).drop("wanted")
+
+
 def keyframes(index: DataFrame) -> DataFrame:
     return index.where("is_key")
 
@@ -152,25 +205,30 @@ def stride(frames: DataFrame, every: int, index: str = "sample_no") -> DataFrame
     )
 
 
-def sample_linspace(meta: DataFrame, n: int, cap_to_total: bool = True) -> DataFrame:
-    """``n`` evenly spaced frame numbers from first to last, rounded down.
+def linspace_numbers(total: Column, n: int, cap_to_total: bool = True) -> Column:
+    """``n`` evenly spaced frame numbers from first to last, rounded down, as an array.
 
     ``cap_to_total`` takes at most as many as the clip has; otherwise short
-    clips repeat frames.
+    clips repeat frames. A clip without frames has none.
     """
-    total = F.col("total_frames").cast("bigint")
+    total = total.cast("bigint")
     count = F.least(F.lit(n).cast("bigint"), total) if cap_to_total else F.lit(n).cast("bigint")
-    grid = explode_range(
-        meta.where(total > 0).select("clip_id", total.alias("_total"), count.alias("_count")),
-        F.col("_count"),
-        "sample_no",
-    )
-    i, last = F.col("sample_no"), F.col("_count") - 1
-    spaced = F.floor(i * ((F.col("_total") - 1).cast("double") / F.nullif(last, F.lit(0))))
-    frame_no = (
-        F.when(last == 0, F.lit(0)).when(i == last, F.col("_total") - 1).otherwise(spaced).cast("int")
+    last = count - 1
+    spacing = (total - 1).cast("double") / F.nullif(last, F.lit(0))
+
+    def number(i: Column) -> Column:
+        spaced = F.when(i == last, total - 1).otherwise(F.floor(i * spacing))
+        return F.when(last == 0, F.lit(0)).otherwise(spaced).cast("int")
+
+    return F.when(total > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), last), number))
+
+
+def sample_linspace(meta: DataFrame, n: int, cap_to_total: bool = True) -> DataFrame:
+    """A row per evenly spaced frame number of each clip."""
+    numbers = linspace_numbers(F.col("total_frames"), n, cap_to_total)
+    return meta.select("clip_id", F.posexplode(numbers).alias("sample_no", "frame_no")).withColumn(
+        "sample_no", F.col("sample_no").cast("bigint")
     )
-    return grid.select("clip_id", "sample_no", frame_no.alias("frame_no"))
 
 
 def sample_nearest_second(frames: DataFrame, cap: int = 24) -> DataFrame:

@@ -59,17 +59,27 @@ def write_csv(results: DataFrame, path: str) -> None:
     results.select(*flat).write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_results(spark: SparkSession, root: str, metric: str) -> DataFrame | None:
-    """All stored rows of a metric; None when there are none or they cannot be read."""
+def read_results(
+    spark: SparkSession, root: str, metric: str, skip_damaged: bool = False
+) -> DataFrame | None:
+    """All stored rows of a metric; None when there are none.
+
+    ``skip_damaged`` leaves out files that cannot be read instead of failing.
+    """
+    path = f"{root}/metric={metric}"
+    reader = spark.read.option("basePath", path).option("ignoreCorruptFiles", skip_damaged)
     try:
-        return spark.read.option("basePath", f"{root}/metric={metric}").parquet(f"{root}/metric={metric}")
+        return reader.parquet(path)
     except AnalysisException:
         return None
 
 
 def read_other_runs(spark: SparkSession, root: str, metric: str, run_id: str) -> DataFrame | None:
-    """Stored rows of every run but this one, whose folder a repeated run replaces."""
-    stored = read_results(spark, root, metric)
+    """Stored rows of every run but this one, whose folder a repeated run replaces.
+
+    This is what a resumed run skips: clips in damaged files are scored afresh.
+    """
+    stored = read_results(spark, root, metric, skip_damaged=True)
     return None if stored is None else stored.where(F.col("run_id") != f"run-{run_id}")
 
 

@@ -126,6 +126,18 @@ def test_run_resumes_and_retries(spark, world, tmp_path):
     assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, stored.select(columns).collect()))
 
 
+def test_damaged_results_are_scored_afresh(spark, world, tmp_path):
+    clips, frames = world
+    root = str(tmp_path)
+    runs.run_metric(spark, "aesthetics", clips.where("video_id = 'a'"), root, "1", MODEL, frames)
+    runs.run_metric(spark, "aesthetics", clips.where("video_id = 'b'"), root, "2", MODEL, frames)
+    for file in (tmp_path / "results/metric=aesthetics/run_id=run-2").glob("*.parquet"):
+        file.write_bytes(b"not a table" * 50)
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    got = runs.run_metric(spark, "aesthetics", clips, root, "3", MODEL, frames)
+    assert set(by_id(got, "avg_aesthetic_score")) == {"b", "c"}
+
+
 def test_run_slices_and_trials(spark, world, tmp_path):
     clips, frames = world
     got = runs.run_metric(spark, "aesthetics", clips, str(tmp_path / "s"), "1", MODEL, frames, start=1, end=2)

@@ -63,6 +63,24 @@ def test_times_equal_stepwise_sampling(spark, desired, discard, include_end):
         assert [n for n, _, _ in mine] == list(range(len(want)))
 
 
+@pytest.mark.parametrize("desired", [None, 2, 4, 8, 0.5, 3])
+@pytest.mark.parametrize("discard", [None, 1.5])
+@pytest.mark.parametrize("size", [0, 1_000_000])
+def test_sampling_in_place_equals_join(spark, monkeypatch, desired, discard, size):
+    """``size`` 0 takes the salted join instead of the broadcast."""
+    monkeypatch.setattr(sampling.attach, "__defaults__", ("inner", True, size))
+    rng = random.Random(2)
+    clips = [(rng.choice([25, 24, 29.97, 2.5, 1, 0.5, 3, 0]), rng.randrange(0, 120)) for _ in range(30)]
+    m = meta(spark, *clips)
+    rows = [(f"c{i}", f, f * 1.5) for i, (_, n) in enumerate(clips) for f in range(n + 3) if f % 7 != 5]
+    frames = spark.createDataFrame(rows, "clip_id string, frame_no int, x double")
+    columns = ["clip_id", "sample_no", "t_s", "frame_no", "x"]
+    want = sampling.fetch_frames(sampling.sample_uniform(m, desired, discard), frames)
+    got = sampling.sample_frames(frames, m, desired, discard)
+    want, got = (sorted(map(tuple, d.select(columns).collect())) for d in (want, got))
+    assert got == want and len(got) > 0
+
+
 def test_repeated_sum_crosses_blocks(spark):
     k = [0, 1, 65535, 65536, 65537, 200_000]
     df = spark.createDataFrame([(i,) for i in k], "k bigint")
