@@ -108,7 +108,7 @@ def run_metric(
     return spark.read.parquet(run_path(f"{root}/results", metric.name, run_id))
 
 
-def run_metrics(
+def run_all(
     spark: SparkSession, names: Sequence[str], clips: DataFrame, root: str, run_id: str,
     models: dict[str, Model], **options,
 ) -> dict[str, DataFrame]:

@@ -158,7 +158,7 @@ def test_every_metric_runs(spark, world, tmp_path):
         "vision_reward": runs.Model(lambda: None, lambda m, b: ["yes"] * len(b), 100),
     }
     names = registry.metric_names()
-    got = runs.run_metrics(spark, names, clips, str(tmp_path), "1", models, frames=frames)
+    got = runs.run_all(spark, names, clips, str(tmp_path), "1", models, frames=frames)
     assert set(got) == set(names)
     assert by_id(got["vision_reward"], "avg_vision_reward")["c"] == pytest.approx(0.15109870265788475)
     assert by_id(got["nsfw"], "avg_nsfw_score")["a"] == 0.25
