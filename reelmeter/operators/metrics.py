@@ -17,6 +17,7 @@ from reelmeter.fixed_values import OTHER_BUCKET, SUBJECT_BUCKETS
 from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.text import bucket, strip_pad
 from reelmeter.operators.ordering import attach
+from reelmeter.session import stored
 
 PART_FRAMES = 4096
 
@@ -45,29 +46,42 @@ def frame_parts(
     )
 
 
-def with_parts(summary: DataFrame, rows: DataFrame, parts: DataFrame, name: str) -> DataFrame:
-    """Averages and per-frame maps together; a clip without frames keeps an empty map."""
-    filled = attach(parts, summary, "clip_id", F.col("part_no"))
-    without = summary.join(rows.select("clip_id").distinct(), "clip_id", "left_anti")
-    empty = without.withColumns(
+def with_parts(summary: DataFrame, parts: DataFrame, name: str) -> DataFrame:
+    """Averages and per-frame maps together; a clip without frames keeps an empty map.
+
+    ``summary`` has a row per clip and its number of rows as ``_n`` (null without any).
+    """
+    summary = stored(summary, "clip-summary")
+    filled = attach(parts, summary.where("_n is not null"), "clip_id", F.col("part_no"), store=False)
+    empty = summary.where("_n is null").withColumns(
         {"part_no": F.lit(0), name: F.create_map().cast(parts.schema[name].dataType)}
     )
-    columns = ["clip_id", "part_no", *[c for c in summary.columns if c != "clip_id"], name]
+    columns = ["clip_id", "part_no", *[c for c in summary.columns if c not in ("clip_id", "_n")], name]
     return filled.select(*columns).unionByName(empty.select(*columns))
 
 
-def _clip_mean(clips: DataFrame, rows: DataFrame, value: Column, name: str, empty: float) -> DataFrame:
-    means = rows.groupBy("clip_id").agg(F.avg(value).alias(name))
+def _clip_mean(clips: DataFrame, rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Mean per clip (NaN without rows) and the number of rows as ``_n``."""
+    means = rows.groupBy("clip_id").agg(F.avg(value).alias(name), F.count(F.lit(1)).alias("_n"))
     return (
         clips.select("clip_id")
         .join(means, "clip_id", "left")
-        .withColumn(name, F.coalesce(name, F.lit(empty)))
+        .withColumn(name, F.coalesce(name, F.lit(float("nan"))))
     )
 
 
+def _scores(clips: DataFrame, scores: DataFrame, name: str) -> DataFrame:
+    return _clip_mean(clips, scores, F.col("score").cast("double"), name)
+
+
+def _unsafe_share(clips: DataFrame, labels: DataFrame, unsafe: str = "nsfw") -> DataFrame:
+    hit = F.when(F.col("label") == unsafe, 1.0).otherwise(0.0)
+    return _clip_mean(clips, labels, hit, "avg_nsfw_score")
+
+
 def avg_aesthetic(clips: DataFrame, scores: DataFrame) -> DataFrame:
     """Mean score per clip; NaN for a clip without frames."""
-    return _clip_mean(clips, scores, F.col("score").cast("double"), "avg_aesthetic_score", float("nan"))
+    return _scores(clips, scores, "avg_aesthetic_score").drop("_n")
 
 
 def aesthetics(clips: DataFrame, scores: DataFrame, part_frames: int = PART_FRAMES) -> DataFrame:
@@ -76,13 +90,12 @@ def aesthetics(clips: DataFrame, scores: DataFrame, part_frames: int = PART_FRAM
         scores, "sample_no", F.col("sample_no").cast("int"), F.col("score").cast("double"),
         "frame_aesthetic_scores", part_frames,
     )
-    return with_parts(avg_aesthetic(clips, scores), scores, parts, "frame_aesthetic_scores")
+    return with_parts(_scores(clips, scores, "avg_aesthetic_score"), parts, "frame_aesthetic_scores")
 
 
 def nsfw_share(clips: DataFrame, labels: DataFrame, unsafe: str = "nsfw") -> DataFrame:
     """Share of frames labelled exactly ``unsafe``."""
-    hit = F.when(F.col("label") == unsafe, 1.0).otherwise(0.0)
-    return _clip_mean(clips, labels, hit, "avg_nsfw_score", float("nan"))
+    return _unsafe_share(clips, labels, unsafe).drop("_n")
 
 
 def nsfw(clips: DataFrame, labels: DataFrame, part_frames: int = PART_FRAMES) -> DataFrame:
@@ -90,11 +103,12 @@ def nsfw(clips: DataFrame, labels: DataFrame, part_frames: int = PART_FRAMES) ->
     parts = frame_parts(
         labels, "sample_no", F.col("file"), F.col("label"), "frame_nsfw_results", part_frames
     )
-    return with_parts(nsfw_share(clips, labels), labels, parts, "frame_nsfw_results")
+    return with_parts(_unsafe_share(clips, labels), parts, "frame_nsfw_results")
 
 
 def watermark_avg(clips: DataFrame, scores: DataFrame) -> DataFrame:
-    return _clip_mean(clips, scores, F.col("score").cast("double"), "avg_watermark_score", float("nan"))
+    """Mean score per clip; NaN for a clip without frames."""
+    return _scores(clips, scores, "avg_watermark_score").drop("_n")
 
 
 def watermark(clips: DataFrame, scores: DataFrame, part_frames: int = PART_FRAMES) -> DataFrame:
@@ -103,7 +117,7 @@ def watermark(clips: DataFrame, scores: DataFrame, part_frames: int = PART_FRAME
         scores, "sample_no", F.col("file"), F.col("score").cast("double"),
         "frame_watermark_results", part_frames,
     )
-    return with_parts(watermark_avg(clips, scores), scores, parts, "frame_watermark_results")
+    return with_parts(_scores(clips, scores, "avg_watermark_score"), parts, "frame_watermark_results")
 
 
 def confidence_filter(detections: DataFrame, threshold: float = 0.25) -> DataFrame:
@@ -212,13 +226,22 @@ def subject_averages(
 def subjects(
     clips: DataFrame, frames: DataFrame, detections: DataFrame, part_frames: int = PART_FRAMES
 ) -> DataFrame:
-    """Averages and map of frame to its raw and bucketed counts."""
-    per_frame = frame_counts(frames, detections)
-    counts = F.struct("raw_counts", "bucketed_counts")
+    """Averages and map of frame to its raw and bucketed counts.
+
+    Both are read off the counts per frame, which are written once.
+    """
+    per_frame = stored(frame_counts(frames, detections), "frame-counts")
+    shown = {"avg_subjects": "total", "avg_humans": "humans", "avg_animals": "animals"}
+    means = per_frame.groupBy("clip_id").agg(
+        *[F.avg(f"bucketed_counts.{field}").alias(name) for name, field in shown.items()],
+        F.count(F.lit(1)).alias("_n"),
+    )
+    summary = clips.select("clip_id").join(means, "clip_id", "left").fillna(0.0, list(shown))
     parts = frame_parts(
-        per_frame, "frame_no", F.col("frame_no").cast("int"), counts, "frame_counts", part_frames
+        per_frame, "frame_no", F.col("frame_no").cast("int"), F.struct("raw_counts", "bucketed_counts"),
+        "frame_counts", part_frames,
     )
-    return with_parts(subject_averages(clips, frames, detections), frames, parts, "frame_counts")
+    return with_parts(summary, parts, "frame_counts")
 
 
 def frame_answers(answers: DataFrame) -> DataFrame:
@@ -238,7 +261,9 @@ def shot_categories(clips: DataFrame, answers: DataFrame, part_frames: int = PAR
         frame_answers(answers), "frame_no", F.col("frame_no").cast("int"), F.col("answers"),
         "frame_shot_categorization", part_frames,
     )
-    return with_parts(clips.select("clip_id"), answers, parts, "frame_shot_categorization")
+    counts = answers.groupBy("clip_id").agg(F.count(F.lit(1)).alias("_n"))
+    summary = clips.select("clip_id").join(counts, "clip_id", "left")
+    return with_parts(summary, parts, "frame_shot_categorization")
 
 
 def vision_reward(answers: DataFrame, questions: DataFrame) -> DataFrame:

@@ -78,13 +78,15 @@ def checkpoint_windows(
     )
 
 
-def error_summary(log: DataFrame, shown: int = 5, width: int = 100) -> DataFrame:
+def error_summary(
+    log: DataFrame, shown: int = 5, width: int = 100, order: Sequence[str] = ("seq",)
+) -> DataFrame:
     """The first few errors, cut to ``width`` characters, with the number of all."""
     failed = log.where(F.col("error").isNotNull())
     total = failed.agg(F.count(F.lit(1)).alias("n_errors"))
-    first = failed.orderBy("seq").limit(shown)
+    first = failed.orderBy(*order).limit(shown)
     return first.select(
-        "seq", "video_id", F.left("error", F.lit(width)).alias("message"), total.scalar().alias("n_errors")
+        *dict.fromkeys([*order, "video_id"]), F.left("error", F.lit(width)).alias("message"), total.scalar().alias("n_errors")
     )
 
 

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmeter.operators.ordering import limit_run, range_slice
+from reelmeter.operators.ordering import limit_run, range_slice, seeded_shuffle
 from reelmeter.operators.sampling import sample_uniform
 from reelmeter.operators.scoring import error_rows, run_log, score_batches
 from reelmeter.plans.registry import Metric, get_metric
@@ -80,14 +80,22 @@ def run_metric(
     ``root/scored`` once, split into ok and failed; results are summed up from
     there, so a lost executor never causes scoring to be repeated after that
     point. A clip with a failed item has no result and is retried next time.
+    ``root/log`` has a row per clip for the reports in ``runlog`` (ordered by
+    ``finished, video_id``). ``trial_every`` scores one checkpoint's worth of
+    clips and 50 more.
     """
     metric = get_metric(metric) if isinstance(metric, str) else metric
+    clips = clips.dropDuplicates(["video_id"])
     if start is not None or end is not None:
         clips = range_slice(clips, ["video_id"], start, end).drop("idx")
     if resume:
         clips = skip_processed(clips, read_other_runs(spark, f"{root}/results", metric.name, run_id))
     if trial_every is not None:
-        clips = limit_run(clips, ["video_id"], trial_every)
+        # a trial over the whole list takes clips from all over it
+        whole_list = start is None and end is None
+        clips = seeded_shuffle(clips, "video_id") if whole_list else clips
+        order = ["shuffle_key", "video_id"] if whole_list else ["video_id"]
+        clips = limit_run(clips, order, trial_every).drop("shuffle_key")
     ids = clips.select(F.col("video_id").alias("clip_id")).distinct()
     asked = clips.withColumnRenamed("video_id", "clip_id") if metric.asks == "clips" else frames(clips)
     items = metric.items(asked)

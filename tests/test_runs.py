@@ -111,6 +111,10 @@ def test_run_resumes_and_retries(spark, world, tmp_path):
     assert got == {"a": {0: 0.0, 1: 40.0, 2: 80.0, 3: 120.0}, "c": {}}
     log = spark.read.parquet(f"{root}/log/metric=aesthetics")
     assert {r.video_id: r.error for r in log.collect()} == {"a": None, "b": "ValueError: decoder"}
+    order = ("finished", "video_id")
+    assert runlog.run_summary(log).first().processed == 1
+    assert runlog.checkpoint_windows(log, 1, order).agg(F.sum("items")).first()[0] == 2
+    assert [r.message for r in runlog.error_summary(log, order=order).collect()] == ["ValueError: decoder"]
     failed = results.read_scored(spark, f"{root}/scored", "aesthetics", ok=False)
     assert {r.clip_id for r in failed.collect()} == {"b"}
 
@@ -144,6 +148,13 @@ def test_run_slices_and_trials(spark, world, tmp_path):
     assert list(by_id(got, "avg_aesthetic_score")) == ["b"]
     got = runs.run_metric(spark, "aesthetics", clips, str(tmp_path / "t"), "1", MODEL, frames, trial_every=50)
     assert got.count() == 3
+    many = spark.range(200).select(F.format_string("%03d", F.col("id")).alias("video_id"), F.lit("p").alias("path"))
+    none = lambda left: frames(left.where("false"))
+    got = runs.run_metric(spark, "aesthetics", many, str(tmp_path / "u"), "1", MODEL, none, trial_every=10)
+    ids = sorted(r.video_id for r in got.collect())
+    assert len(ids) == 60 and ids != [f"{i:03d}" for i in range(60)]
+    got = runs.run_metric(spark, "aesthetics", many, str(tmp_path / "v"), "1", MODEL, none, start=20, trial_every=10)
+    assert sorted(r.video_id for r in got.collect()) == [f"{i:03d}" for i in range(20, 80)]
 
 
 def test_every_metric_runs(spark, world, tmp_path):
