@@ -119,43 +119,33 @@ def crop_boundary(
 
 
 _SUMS = ("xx", "xy", "yy", "xt", "yt")
-GRADIENT_SUMS = T.ArrayType(
-    T.StructType(
-        [T.StructField("block", T.IntegerType())]
-        + [T.StructField(name, T.DoubleType()) for name in _SUMS]
-    )
-)
 
 
 def gradient_sums(previous: Column, current: Column, height: Column, width: Column, block: int) -> Column:
     """Per block, the sums of gradient products of a pair of gray frames.
 
     Central differences of the previous frame and the difference in time, over
-    interior pixels; blocks are ``block`` pixels square, numbered row by row.
+    interior pixels; blocks are ``block`` pixels square, in order row by row.
+    A struct of five arrays, one number per block each.
     """
 
-    @F.pandas_udf(GRADIENT_SUMS)
-    def sums(before: pd.Series, after: pd.Series, heights: pd.Series, widths: pd.Series) -> pd.Series:
-        def one(p, c, h: int, w: int) -> list[dict]:
+    @F.pandas_udf(T.StructType([T.StructField(name, T.ArrayType(T.DoubleType())) for name in _SUMS]))
+    def sums(before: pd.Series, after: pd.Series, heights: pd.Series, widths: pd.Series) -> pd.DataFrame:
+        def one(p, c, h: int, w: int) -> list[np.ndarray]:
             a = as_bytes(p).reshape(h, w).astype(np.float64)
             b = as_bytes(c).reshape(h, w).astype(np.float64)
             ix = (a[1:-1, 2:] - a[1:-1, :-2]) / 2
             iy = (a[2:, 1:-1] - a[:-2, 1:-1]) / 2
             it = (b - a)[1:-1, 1:-1]
             rows, cols = np.arange(1, h - 1) // block, np.arange(1, w - 1) // block
-            across = -(-w // block)
+            down, across = -(-h // block), -(-w // block)
             ids = (rows[:, None] * across + cols[None, :]).ravel()
-            n = across * -(-h // block)
             products = (ix * ix, ix * iy, iy * iy, ix * it, iy * it)
-            totals = [np.bincount(ids, weights=p.ravel(), minlength=n) for p in products]
-            return [
-                {"block": i, **dict(zip(_SUMS, map(float, values)))}
-                for i, values in enumerate(zip(*totals))
-            ]
+            return [np.bincount(ids, weights=x.ravel(), minlength=down * across) for x in products]
 
-        return pd.Series(
-            [one(p, c, int(h), int(w)) for p, c, h, w in zip(before, after, heights, widths)],
-            dtype=object,
+        totals = [one(p, c, int(h), int(w)) for p, c, h, w in zip(before, after, heights, widths)]
+        return pd.DataFrame(
+            {name: pd.Series([t[i] for t in totals], dtype=object) for i, name in enumerate(_SUMS)}
         )
 
     return evaluated_once(sums)(previous, current, height, width)

@@ -52,47 +52,40 @@ def frame_pairs(
     )
 
 
-def block_flow(pairs: DataFrame, block: int = 8) -> DataFrame:
-    """Displacement (u, v) of each block of each pair by least squares.
+def flow_maps(pairs: DataFrame, block: int = 8) -> DataFrame:
+    """Flow map of each pair: displacement (u, v) per block by least squares.
 
     Solves the 2x2 normal equations of the gradient constraint; a block
-    without texture in two directions gets (0, 0).
+    without texture in two directions gets (0, 0). A narrow step: each pair's
+    map is made where the pair is.
     """
-    sums = pairs.select(
-        "clip_id",
-        "pair_no",
-        F.inline(
-            gradient_sums(
-                F.col("prev_gray"), F.col("gray"), F.col("height"), F.col("width"), block
-            )
-        ),
-    )
-    det = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
+    height, width = F.col("height"), F.col("width")
+    sums = gradient_sums(F.col("prev_gray"), F.col("gray"), height, width, block)
+    blocks = F.arrays_zip(*[f"_g.{name}" for name in ("xx", "xy", "yy", "xt", "yt")])
+
+    def solve(numerator: Callable[[Column], Column]) -> Column:
+        def one(s: Column) -> Column:
+            det = s["xx"] * s["yy"] - s["xy"] * s["xy"]
+            return F.coalesce(F.try_divide(numerator(s), det), F.lit(0.0))
 
-    def solve(numerator: Column) -> Column:
-        return F.coalesce(F.try_divide(numerator, det), F.lit(0.0))
+        return F.transform(blocks, one)
 
-    return sums.select(
+    return pairs.withColumn("_g", sums).select(
         "clip_id",
         "pair_no",
-        "block",
-        solve(F.col("xy") * F.col("yt") - F.col("yy") * F.col("xt")).alias("u"),
-        solve(F.col("xy") * F.col("xt") - F.col("xx") * F.col("yt")).alias("v"),
+        F.ceil(height / block).cast("int").alias("height"),
+        F.ceil(width / block).cast("int").alias("width"),
+        solve(lambda s: s["xy"] * s["yt"] - s["yy"] * s["xt"]).alias("u"),
+        solve(lambda s: s["xy"] * s["xt"] - s["xx"] * s["yt"]).alias("v"),
     )
 
 
-def flow_maps(blocks: DataFrame) -> DataFrame:
-    """Block displacements of a pair as one map row (blocks in order)."""
-    ordered = F.array_sort(F.collect_list(F.struct("block", "u", "v")))
+def block_flow(pairs: DataFrame, block: int = 8) -> DataFrame:
+    """The flow maps as a row per block."""
     return (
-        blocks.groupBy("clip_id", "pair_no")
-        .agg(ordered.alias("b"))
-        .select(
-            "clip_id",
-            "pair_no",
-            F.col("b.u").cast("array<float>").alias("u"),
-            F.col("b.v").cast("array<float>").alias("v"),
-        )
+        flow_maps(pairs, block)
+        .select("clip_id", "pair_no", F.posexplode(F.arrays_zip("u", "v")).alias("block", "_f"))
+        .select("clip_id", "pair_no", "block", "_f.u", "_f.v")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reelmeter.functions.text import base_name
 from reelmeter.operators import metrics
 from reelmeter.operators.cropping import gray_frames
-from reelmeter.operators.motion import block_flow, flow_maps, frame_pairs, motion_score
+from reelmeter.operators.motion import flow_maps, frame_pairs, motion_score
 from reelmeter.operators.sampling import stride
 from reelmeter.operators.scoring import prompt_fanout, question_fanout, scored_rows
 from reelmeter.sources.files import default_questions, drop_prompt_questions, shot_prompts
@@ -46,7 +46,7 @@ def _named(frames: DataFrame) -> DataFrame:
 def _motion(clips: DataFrame, frames: DataFrame, _) -> DataFrame:
     gray = frames if "gray" in frames.columns else gray_frames(frames)
     pairs = frame_pairs(gray, keep=("height", "width"))
-    return motion_score(clips, flow_maps(block_flow(pairs)))
+    return motion_score(clips, flow_maps(pairs))
 
 
 def _subjects(clips: DataFrame, items: DataFrame, scored: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from reelmeter.operators.ordering import limit_run, range_slice, seeded_shuffle
 from reelmeter.operators.sampling import sample_uniform
 from reelmeter.operators.scoring import error_rows, run_log, score_batches
 from reelmeter.plans.registry import Metric, get_metric
+from reelmeter.session import stored
 from reelmeter.sources.files import scene_files, scene_manifest
 from reelmeter.sources.results import (
     first_links,
@@ -96,7 +97,8 @@ def run_metric(
         clips = seeded_shuffle(clips, "video_id") if whole_list else clips
         order = ["shuffle_key", "video_id"] if whole_list else ["video_id"]
         clips = limit_run(clips, order, trial_every).drop("shuffle_key")
-    ids = clips.select(F.col("video_id").alias("clip_id")).distinct()
+    clips = stored(clips, "clips")  # one list for all that follows
+    ids = clips.select(F.col("video_id").alias("clip_id"))
     asked = clips.withColumnRenamed("video_id", "clip_id") if metric.asks == "clips" else frames(clips)
     items = metric.items(asked)
     scored, done = None, ids
