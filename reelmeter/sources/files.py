@@ -6,7 +6,7 @@ only names and sizes are read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmeter.fixed_values import IMAGE_SUFFIXES, PROMPT_MARK, QUESTION_WEIGHTS, QUESTIONS, SHOT_PROMPTS
@@ -15,24 +15,26 @@ from reelmeter.operators.ordering import attach, dense_index
 from reelmeter.schemas import QUESTION_TABLE
 
 
-def _listing(spark: SparkSession, root: str, pattern: str | None, recursive: bool) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+def _tree(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select(
-        F.regexp_replace("path", r"^file:/+", "/").alias("path"),
-        "length",
-        F.col("modificationTime").alias("modified"),
-    )
+    return reader.load(root).select(_plain_path(), "length", F.col("modificationTime").alias("modified"))
+
+
+def _plain_path() -> Column:
+    return F.regexp_replace("path", r"^file:/+", "/").alias("path")
+
+
+def clip_columns() -> list[Column]:
+    """Clip rows of a file listing; the path is the id."""
+    return [_plain_path().alias("video_id"), _plain_path(), F.col("length"), F.col("modificationTime").alias("modified")]
 
 
 def clip_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The ``*.mp4`` files directly under ``root``, by path; the path is the id."""
-    return (
-        _listing(spark, root, "*.mp4", recursive=False)
-        .select(F.col("path").alias("video_id"), "path", "length", "modified")
-        .orderBy("path")
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp4")
+    return reader.load(root).select(*clip_columns()).orderBy("path")
 
 
 def catalog(spark: SparkSession, path: str, order: str | None = None) -> DataFrame:
@@ -53,7 +55,7 @@ def catalog(spark: SparkSession, path: str, order: str | None = None) -> DataFra
 def scene_files(spark: SparkSession, root: str) -> DataFrame:
     """All ``<root>/<clean_title>/<scene>.mp4`` files."""
     return (
-        _listing(spark, root, "*.mp4", recursive=True)
+        _tree(spark, root, "*.mp4")
         .withColumn("clean_title", F.element_at(F.split("path", "/"), -2))
         .select("clean_title", "path")
     )
@@ -101,7 +103,7 @@ def frame_dir_manifest(spark: SparkSession, root: str) -> DataFrame:
 
     A directory tree without any image is an error, as there is nothing to score.
     """
-    listing = _listing(spark, root, None, recursive=True)
+    listing = _tree(spark, root)
     frames = image_files(listing).select("clip_id", "frame_no", "path")
     if frames.isEmpty():
         raise ValueError(f"No image frames found in {root}")

@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelmeter.plans.registry import Metric
+from reelmeter.plans.runs import Model, run_metric
 from reelmeter.session import scratch_path
+from reelmeter.sources.files import clip_columns
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -22,6 +25,18 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def clip_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """New ``*.mp4`` files of a folder as a stream of clips; file contents are not read."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.mp4")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(root)
+        .select(*clip_columns())
+    )
+
+
 def _batch_path(sink: str, batch_id: int) -> str:
     return f"{sink}/batch_id={batch_id}"
 
@@ -70,6 +85,26 @@ def score_stream(
     _run(stream, handle, checkpoint)
 
 
+def stream_metric(
+    clips: DataFrame,
+    metric: str | Metric,
+    root: str,
+    checkpoint: str,
+    model: Model | None = None,
+    frames: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """A metric over clips as they arrive: each micro-batch is a run of its own.
+
+    Runs skip what other runs stored and replace only themselves, so results
+    are those of one run over all clips, and a replayed batch changes nothing.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run_metric(batch.sparkSession, metric, batch, root, f"batch-{batch_id}", model, frames)
+
+    _run(clips, handle, checkpoint)
+
+
 def stream_throughput(
     stream: DataFrame, sink: str, checkpoint: str, time: str, width: str = "1 hour", delay: str = "1 hour"
 ) -> None:

@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from reelmeter.plans.runs import Model, run_metric
+from reelmeter.sources import files, results
 from reelmeter.streaming import runs as streams
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +76,31 @@ def test_replayed_batch_keeps_its_rows(spark, feed):
     assert spark.read.parquet(sink).count() == before
 
 
+def test_metric_over_arriving_clips(spark, tmp_path):
+    folder = tmp_path / "clips"
+    folder.mkdir()
+    model = Model(lambda: None, lambda m, b: [{"score": float(len(c))} for c in b["clip_id"]], 2)
+    frames = lambda clips: clips.select(F.col("video_id").alias("clip_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("sample_no"))
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "checkpoint")
+
+    def go(*names):
+        for name in names:
+            (folder / name).write_bytes(b"clip")
+        streams.stream_metric(streams.clip_stream(spark, str(folder), 2), "aesthetics", root, checkpoint, model, frames)
+        return results.read_results(spark, f"{root}/results", "aesthetics")
+
+    go("a.mp4", "bb.mp4", "ccc.mp4", "notes.txt")
+    got = go("dddd.mp4").collect()
+    assert {r.video_id: r.avg_aesthetic_score - len(str(folder)) for r in got} == {
+        f"{folder}/{n}.mp4": len(n) + 5.0 for n in ("a", "bb", "ccc", "dddd")
+    }
+    assert len(got) == 4 and len({r.run_id for r in got}) == 3
+    assert go().count() == 4
+    whole = run_metric(spark, "aesthetics", files.clip_manifest(spark, str(folder)), f"{root}/whole", "1", model, frames)
+    columns = ["video_id", "part_no", "avg_aesthetic_score", "frame_aesthetic_scores"]
+    assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, go().select(columns).collect()))
+
+
 def test_running_mean_equals_batch(spark, feed):
     events, deliver, stream, (sink, checkpoint) = feed
     go = lambda: streams.stream_running_mean(
