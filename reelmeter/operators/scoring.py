@@ -3,15 +3,62 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The model of this Python worker process, under the call it was loaded for.
+_loaded: dict[str, Any] = {}
+
+
+def _worker_model(call: str, load_fn: Callable[[], Any]) -> Any:
+    """Load on the first task of a worker process; later tasks of the same call reuse it."""
+    if call not in _loaded:
+        _loaded.clear()
+        _loaded[call] = load_fn()
+    return _loaded[call]
+
+
+_OUTPUT_ROWS = 1000  # outputs are small: hand them back to Spark in larger pieces
+
+
+def _rebatched(frames: Iterable[pd.DataFrame], size: int) -> Iterable[pd.DataFrame]:
+    """The same rows ``size`` at a time, whatever number Arrow delivers."""
+    held, n = [], 0
+    for pdf in frames:
+        start = 0
+        while n + len(pdf) - start >= size:
+            stop = start + size - n
+            piece = pdf.iloc[start:stop]
+            yield pd.concat([*held, piece], ignore_index=True) if held else piece.reset_index(drop=True)
+            held, n, start = [], 0, stop
+        if start < len(pdf):
+            held.append(pdf.iloc[start:])
+            n += len(pdf) - start
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _output(names: Sequence[str], done: list[tuple]) -> pd.DataFrame:
+    """One frame of the outputs of several batches."""
+    sizes = [len(outputs) for _, outputs, _, _, _ in done]
+    columns = {name: np.concatenate([keys[i] for keys, *_ in done]) for i, name in enumerate(names)}
+    out = pd.DataFrame(columns)
+    out["result"] = pd.Series([x for _, outputs, _, _, _ in done for x in outputs], dtype=object)
+    out["error"] = pd.Series(np.repeat(np.array([d[2] for d in done], dtype=object), sizes), dtype=object)
+    for column, i in (("started", 3), ("finished", 4)):
+        stamps = np.repeat(np.array([d[i] for d in done], dtype="int64"), sizes)
+        out[column] = pd.to_datetime(stamps, unit="us", utc=True)
+    return out
+
+
 def _now_us() -> int:
     return time.time_ns() // 1000
 
@@ -27,7 +74,7 @@ def score_batches(
 ) -> DataFrame:
     """Rows (*keys, result, error, started, finished): one per input, in batches.
 
-    ``load_fn`` runs once per task and its failure fails the job.
+    ``load_fn`` runs once per worker process and its failure fails the job.
     ``infer_fn(model, batch)`` gets a pandas frame of up to ``batch_size``
     items, across clips, and returns one output per item in order. When it
     raises or returns another number of outputs, every item of that batch
@@ -48,31 +95,28 @@ def score_batches(
         ]
     )
 
-    names = list(keys)
-
-    def run(batches):
-        model = load_fn()
-        for pdf in batches:
-            results, errors, started, finished = [], [], [], []
-            for start in range(0, len(pdf), batch_size):
-                part = pdf.iloc[start : start + batch_size].reset_index(drop=True)
-                n, error, begin = len(part), None, _now_us()
-                try:
-                    outputs = list(infer_fn(model, part))
-                    if len(outputs) != n:
-                        raise ValueError(f"{len(outputs)} outputs for {n} items")
-                except Exception as failure:
-                    outputs, error = [None] * n, f"{type(failure).__name__}: {failure}"
-                results += outputs
-                errors += [error] * n
-                started += [begin] * n
-                finished += [_now_us()] * n
-            out = pdf[names].copy()
-            out["result"] = pd.Series(results, dtype=object, index=out.index)
-            out["error"] = pd.Series(errors, dtype=object, index=out.index)
-            out["started"] = pd.to_datetime(started, unit="us", utc=True)
-            out["finished"] = pd.to_datetime(finished, unit="us", utc=True)
-            yield out
+    names, call = list(keys), uuid.uuid4().hex
+
+    def run(arrow_batches):
+        model = _worker_model(call, load_fn)
+        done: list[tuple] = []
+        rows = 0
+        for part in _rebatched(arrow_batches, batch_size):
+            n, error, begin = len(part), None, _now_us()
+            try:
+                outputs = list(infer_fn(model, part))
+                if len(outputs) != n:
+                    raise ValueError(f"{len(outputs)} outputs for {n} items")
+            except Exception as failure:
+                outputs, error = [None] * n, f"{type(failure).__name__}: {failure}"
+            keys_of = [part[name].to_numpy() for name in names]
+            done.append((keys_of, outputs, error, begin, _now_us()))
+            rows += n
+            if rows >= _OUTPUT_ROWS:
+                yield _output(names, done)
+                done, rows = [], 0
+        if done:
+            yield _output(names, done)
 
     if partitions is not None:
         items = items.repartition(partitions, *names)

@@ -28,7 +28,7 @@ from reelmeter.sources.results import (
 
 @dataclass(frozen=True)
 class Model:
-    """Plug-in: ``load()`` once per task, ``infer(model, batch)`` per batch of items."""
+    """Plug-in: ``load()`` once per worker process, ``infer(model, batch)`` per batch of items."""
 
     load: Callable[[], Any]
     infer: Callable[[Any, Any], Sequence]

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -46,6 +48,19 @@ def test_wrong_number_of_outputs_is_an_error(spark):
     assert [r.error for r in scored.collect()] == ["ValueError: 1 outputs for 3 items"] * 3
 
 
+@pytest.mark.parametrize("size", [1, 4, 7, 100])
+def test_batches_are_full_whatever_arrow_delivers(size):
+    rng = np.random.default_rng(size)
+    delivered, left = [], 50
+    while left:
+        n = min(left, int(rng.integers(1, 12)))
+        delivered.append(pd.DataFrame({"x": range(50 - left, 50 - left + n)}))
+        left -= n
+    got = [list(b["x"]) for b in scoring._rebatched(iter(delivered), size)]
+    assert [x for b in got for x in b] == list(range(50))
+    assert all(len(b) == size for b in got[:-1]) and len(got[-1]) <= size
+
+
 def test_failing_load_fails_the_job(spark):
     def load():
         raise RuntimeError("no weights")
@@ -54,6 +69,17 @@ def test_failing_load_fails_the_job(spark):
         scoring.score_batches(items(spark, 3), load, lambda m, b: [], SCORE, ["clip_id"]).collect()
 
 
+def test_one_load_per_worker_process(spark):
+    def load():
+        return uuid.uuid4().hex
+
+    scored = scoring.score_batches(
+        items(spark, 64).repartition(32), load, lambda m, b: [f"{os.getpid()} {m}"] * len(b), "string", ["clip_id"]
+    )
+    seen = {tuple(r.result.split()) for r in scored.collect()}
+    assert len(seen) == len({pid for pid, _ in seen}) <= 8
+
+
 def test_spreading_items_changes_nothing(spark):
     infer = lambda m, b: [{"score": float(x)} for x in b["x"]]
     for partitions in (None, 1, 5):
