@@ -17,7 +17,7 @@ from reelmeter.fixed_values import OTHER_BUCKET, SUBJECT_BUCKETS
 from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.text import bucket, strip_pad
 from reelmeter.operators.ordering import attach
-from reelmeter.session import stored
+from reelmeter.session import few_rows, stored
 
 PART_FRAMES = 4096
 
@@ -269,15 +269,21 @@ def shot_categories(clips: DataFrame, answers: DataFrame, part_frames: int = PAR
 def vision_reward(answers: DataFrame, questions: DataFrame) -> DataFrame:
     """Signed weighted vote per clip: the weight counts for "yes", against otherwise.
 
-    The answer is compared as it is, without trimming or lower-casing. The
-    number of answers per clip is that of the questions, which are broadcast.
+    The answer is compared as it is, without trimming or lower-casing. A clip
+    has one answer per question; weights are looked up in a literal map of the
+    few questions, and answers to other questions do not count.
     """
     yes = F.col("answer") == "yes"
-    signed = answers.join(F.broadcast(questions.select("q_idx", "weight")), "q_idx").select(
-        "clip_id",
-        "q_idx",
-        F.when(yes, F.col("weight")).otherwise(-F.col("weight")).alias("w"),
-        F.when(yes, 1).otherwise(-1).alias("sign"),
+    pairs = [F.lit(x) for row in few_rows(questions.select("q_idx", "weight")) for x in row]
+    signed = (
+        answers.withColumn("weight", F.create_map(*pairs)[F.col("q_idx")])
+        .where("weight is not null")
+        .select(
+            "clip_id",
+            "q_idx",
+            F.when(yes, F.col("weight")).otherwise(-F.col("weight")).alias("w"),
+            F.when(yes, 1).otherwise(-1).alias("sign"),
+        )
     )
     return (
         signed.groupBy("clip_id")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelmeter.session import few_rows
+
 
 # The model of this Python worker process, under the call it was loaded for.
 _loaded: dict[str, Any] = {}
@@ -147,20 +149,15 @@ def run_log(scored: DataFrame, metric: str, key: str = "clip_id") -> DataFrame:
     )
 
 
-MAX_FANOUT = 1000
-
-
 def fan_out(rows: DataFrame, choices: DataFrame) -> DataFrame:
     """Every row with every row of a small fixed table.
 
     The table becomes a literal array that each row unfolds, so this is a
-    narrow step without a join. More than ``MAX_FANOUT`` choices are refused.
+    narrow step without a join. More than a thousand choices are refused.
     """
-    listed = choices.limit(MAX_FANOUT + 1).collect()
-    if len(listed) > MAX_FANOUT:
-        raise ValueError(f"more than {MAX_FANOUT} choices")
     options = [
-        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in choices.schema]) for row in listed
+        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in choices.schema])
+        for row in few_rows(choices)
     ]
     return rows.select("*", F.inline(F.array(*options)))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -74,6 +74,14 @@ def at_most(df: DataFrame, rows: int, size: int) -> bool:
     return (df.agg(F.sum(text)).first()[0] or 0) <= size
 
 
+def few_rows(df: DataFrame, limit: int = 1000) -> list[Row]:
+    """The rows of a table that is small by its nature; more than ``limit`` are refused."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows")
+    return rows
+
+
 def task_count(spark: SparkSession) -> int:
     """Partitions of an explicit repartitioning: those of the session's shuffles."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -118,7 +118,7 @@ def questions_from_files(spark: SparkSession, questions_path: str, weights_path:
     weights = spark.read.text(weights_path, wholetext=True).select(
         F.posexplode(F.from_json("value", "array<double>")).alias("q_idx", "weight")
     )
-    return lines.join(F.broadcast(weights), "q_idx")
+    return lines.join(weights, "q_idx")
 
 
 def default_questions(spark: SparkSession) -> DataFrame:

@@ -102,6 +102,13 @@ def test_vision_reward(spark, answers, want):
     assert got.frame_wise_rewards == [1 if a == "yes" else -1 for a in answers]
 
 
+def test_answers_to_unknown_questions_do_not_count(spark):
+    questions = drop_prompt_questions(default_questions(spark))
+    table = spark.createDataFrame([("a", 0, "yes"), ("a", 3, "yes"), ("a", 99, "yes")], "clip_id string, q_idx int, answer string")
+    got = metrics.vision_reward(table, questions).first()
+    assert got.frame_wise_rewards == [1] and got.avg_vision_reward == pytest.approx(0.03495652038170829)
+
+
 def test_folded_head_equals_layers(spark):
     rng = np.random.default_rng(5)
     sizes = [32, 24, 12, 6, 1]
