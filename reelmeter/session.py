@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,6 +37,22 @@ def get_spark(app: str = "reelmeter", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix=f"{name}-ship-"), name), "zip", root, name
+        )
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder of the session.
 
