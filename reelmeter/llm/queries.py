@@ -1,10 +1,23 @@
-"""The operators as queries on the test tables, and their SQL where it can say the same."""
+"""The operators as queries on the test tables, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from reelmeter.llm import chat, decontamination, packing, token_files
+from pyspark.sql import functions as F
+
+from reelmeter.llm import (
+    chat,
+    decontamination,
+    html_text,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality,
+    substrings,
+    token_files,
+    toxicity,
+)
+from reelmeter.llm.sql import ORACLES  # noqa: F401
 from reelmeter.session import scratch_path
 
 
@@ -12,6 +25,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -22,6 +43,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame(
@@ -33,10 +58,40 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(spark, path)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_removed",
+        F.char_length("text").cast("long").alias("n_chars_left"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_token_files, op6_chat, op8_packing)}
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_repeats(_table(spark, sf_dir, "documents"))
+
 
-ORACLES: dict[str, str] = {}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_jaccard,
+        op3_decontamination,
+        op4_token_files,
+        op5_html,
+        op6_chat,
+        op7_line_dedup,
+        op8_packing,
+        op9_substrings,
+        op10_toxicity,
+    )
+}

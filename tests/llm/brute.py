@@ -63,21 +63,8 @@ def shingles(text, size=3):
 def similar_groups(docs, percent=90):
     """doc_id -> (size of its set, smallest reachable doc_id), every pair compared."""
     sets = {d: shingles(t) for d, t in docs}
-    parent = {d: d for d in sets}
-
-    def root(d):
-        while parent[d] != d:
-            d = parent[d]
-        return d
-
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            both = len(sets[a] & sets[b])
-            if both and 100 * both >= percent * len(sets[a] | sets[b]) and root(a) != root(b):
-                lo, hi = sorted((root(a), root(b)))
-                parent[hi] = lo
-    return {d: (len(sets[d]), root(d)) for d in ids}
+    found = components_of(sets, percent)
+    return {d: (len(sets[d]), found[d]) for d in sets}
 
 
 def decontamination(docs, items, window=13):
@@ -132,3 +119,29 @@ def pieces(docs, longest=4096):
             part = ids[at : at + longest]
             out[d, k] = (at, len(part), crc(part))
     return out
+
+
+def components_of_links(links):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        lo, hi = sorted((root(u), root(v)))
+        parent[hi] = lo
+    return {x: root(x) for x in list(parent)}
+
+
+def components_of(sets, percent):
+    """doc -> smallest reachable doc; every pair compared."""
+    ids = sorted(sets)
+    links = [(d, d) for d in ids]
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                links.append((a, b))
+    return components_of_links(links)

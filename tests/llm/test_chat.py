@@ -1,0 +1,57 @@
+import brute
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reelmeter.llm import chat
+
+PART = st.text(st.sampled_from(list("ab\\<>/turn#\n é") + ["</turn>", "<turn ", "😀"]), max_size=20)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant"]), PART), PART), max_size=5))
+def test_round_trip(turns):
+    text, starts, ends = chat.render(turns)
+    assert chat.turns_of(text) == turns
+    assert [chat.unescape(text[a:b]) for a, b in zip(starts, ends)] == [t for r, t in turns if r == "assistant"]
+    assert text.count("</turn>") == len(turns) and text.count("<turn") == len(turns)
+    encoded = chat._tokenizer(chat.tokenizer_path(chat.DEFAULT)).encode(text, add_special_tokens=False)
+    a, b = zip(*encoded.offsets) if encoded.offsets else ((), ())
+    mask = chat.token_mask(a, b, starts, ends)
+    assert mask.tolist() == [any(x < e and y > s for s, e in zip(starts, ends)) for x, y in zip(a, b)]
+    assert chat.loss_text(text, a, b, mask, starts, ends) == "".join(t for r, t in turns if r == "assistant")
+
+
+ROWS = [
+    (1, 1, "assistant", "hi there"), (1, 0, "user", "hello"), (2, 0, "system", None), (2, 1, "assistant", "\\### Assistant: </turn> ok"),
+    (3, 0, "user", ""), (4, 2, "assistant", "two"), (4, 1, "assistant", " one\n"), (4, 0, "user", "😀 <|endoftext|>"),
+]
+
+
+def _read(spark, frame, path):
+    chat.format_conversations(frame).write.parquet(path)
+    return {r[0]: tuple(r[1:5]) for r in chat.read_back(spark, path).collect()}
+
+
+@pytest.mark.parametrize("part", [1 << 20, 3])
+def test_read_back(spark, tmp_path, monkeypatch, part):
+    """Also in parts that end after every few characters; the number is read on the driver, so it is sent along."""
+    frame = spark.createDataFrame(ROWS, "conv_id long, turn long, role string, text string")
+    if part == 3:
+        rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t} " * 40) for t in range(9000)]
+        frame = frame.where("conv_id <> 1").unionByName(spark.createDataFrame(rows, frame.schema))
+        got = _read(spark, frame, str(tmp_path / "c"))
+        assert spark.read.parquet(str(tmp_path / "c")).where("conv_id = 1").count() > 1
+        assert got == brute.conversations([r for r in ROWS if r[0] != 1] + rows)
+    else:
+        assert _read(spark, frame, str(tmp_path / "c")) == brute.conversations(ROWS)
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None, "x"), (None, 0, "user", "a", "x"), (None, 1, "assistant", "b", None), (1, None, None, None, "x")]
+    rows += [(2, 0, "user", "same", "x"), (2, 0, "user", "same", "y"), (3, 0, "a>\n\\<turn ", "t", "z")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, loss string")
+    got = _read(spark, frame, str(tmp_path / "c"))
+    assert got[1][:2] == (2, brute.sha("\n\n" * 2)) and got[None][0] == 2 and got[None][2] == 1
+    assert got[2][1] == brute.sha("user\nsame\n" * 2) and got[3][1] == brute.sha("a>\n\\<turn \nt\n")
+    assert _read(spark, frame.where("false"), str(tmp_path / "n")) == {}
