@@ -6,7 +6,9 @@ reaches a limit. Equal sets are one class. Classes that are likely to be similar
 the members of a group have. A query document can only link with a member if
 the group's token union holds the limit's share of its own tokens, so first the
 groups are found that share a rare token with it, then the overlap with their union
-bounds what a member could reach, and only groups that pass are opened.
+bounds what a member could reach, and only groups that pass are opened. For the
+bounds, sets and unions are bitmaps of hashed tokens: a token whose bit is missing is
+surely lacking, so the bounds let all links through. What passes is compared by whole sets.
 
 The rare tokens of a document are as many as it could lack in a partner, plus
 one, in an order that all documents share (rarest first by a count sketch, then
@@ -109,7 +111,7 @@ def _rare(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return tokens[order[:most]]
 
 
-_DESCRIBED = "doc_id long, n_shingles long, key binary, least long, rare array<long>"
+_DESCRIBED = "doc_id long, n_shingles long, key binary, least long, bits binary, rare array<long>"
 
 
 def _described(batches: Iterator[pa.RecordBatch], counts, size: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -122,6 +124,7 @@ def _described(batches: Iterator[pa.RecordBatch], counts, size: int, percent: in
                 "n_shingles": pa.array(map(len, sets), pa.int64()),
                 "key": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 "least": pa.array([int(s[0].view(np.int64)) if len(s) else None for s in sets], pa.int64()),
+                "bits": pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
                 "rare": pa.array(
                     [_rare(s, known, percent).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64())
                 ),
@@ -130,80 +133,116 @@ def _described(batches: Iterator[pa.RecordBatch], counts, size: int, percent: in
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The sets of texts that have the wanted key; of neighbouring rows with the same id and key only one."""
+    before, known = None, set()
     for batch in batches:
-        sets = [shingle_hashes(t.as_py(), size) for t in batch["text"]]
-        keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-        same = pa.array([k == w for k, w in zip(keys, batch["key"].to_pylist())], pa.bool_())
+        sets, same = [], []
+        for doc_id, key, text in zip(batch["doc_id"].to_pylist(), batch["key"].to_pylist(), batch["text"]):
+            if doc_id != before:
+                before, known = doc_id, set()
+            s = shingle_hashes(text.as_py(), size)
+            sets.append(s)
+            same.append(key not in known and xxhash.xxh3_128_digest(s.tobytes()) == key)
+            if same[-1]:
+                known.add(key)
+        same = pa.array(same, pa.bool_())
         yield pa.RecordBatch.from_pydict(
-            {
-                "group": batch["group"],
-                "doc_id": batch["doc_id"],
-                "tokens": pa.array([s.tobytes() for s in sets], pa.binary()),
-            }
+            {"doc_id": batch["doc_id"], "tokens": pa.array([s.tobytes() for s in sets], pa.binary())}
         ).filter(same)
 
 
-class _Joined:
-    """Union-find over the documents of a batch: says whether a link tells anything new."""
-
-    def __init__(self):
-        self.parent: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.parent.get(x, x)
-        while up != x:
-            x, up = up, self.parent.get(up, up)
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.parent[max(a, b)] = min(a, b)
-        return True
-
-
-def open_groups(one: list[np.ndarray], two: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(i, j) of all sets of ``one`` and ``two`` that link.
-
-    Queries are the sets of ``one``. The overlap of each with the token union of
-    ``two`` bounds its overlap with any member, and only queries within the bound are
-    held against the members.
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Which values the low bits of the tokens take; two to four bits for each token, a power of two."""
+    bits = np.zeros(max(64, 1 << (2 * len(tokens) - 1).bit_length()), bool)
+    bits[(tokens & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _folded(rows: np.ndarray, length: int) -> np.ndarray:
+    """Bitmaps (one a row, of 64-bit words) as they would be with only ``length`` words."""
+    if rows.shape[1] == length:
+        return rows
+    return np.bitwise_or.reduce(rows.reshape(len(rows), -1, length), axis=1)
+
+
+class Group:
+    """The members of a group, by the length of their bitmaps, and the union of their tokens as a bitmap."""
+
+    def __init__(self, members: list[dict]):
+        members = sorted(members, key=lambda m: m["doc_id"])
+        self.ids = np.array([m["doc_id"] for m in members], np.int64)
+        self.sizes = np.array([m["n_shingles"] for m in members], np.int64)
+        self.components = np.array([m["component"] for m in members], np.int64)
+        self.rows = [np.frombuffer(m["bits"], np.uint64).reshape(1, -1) for m in members]
+        lengths = np.array([r.shape[1] for r in self.rows])
+        self.by_length = {}
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            self.by_length[n] = at, np.concatenate([self.rows[i] for i in at])
+        shortest = int(lengths.min())
+        self.union = np.bitwise_or.reduce(np.concatenate([_folded(r, shortest) for r in self.rows]), axis=0, keepdims=True)
+
+    def may_hold(self, row: np.ndarray, size: int, percent: int) -> bool:
+        """Whether a query's overlap with the union can reach the share that a partner must have."""
+        n = min(row.shape[1], self.union.shape[1])
+        lacking = int(np.bitwise_count(_folded(row, n) & ~_folded(self.union, n)).sum())
+        return 100 * (size - lacking) >= percent * size
+
+    def partners(self, row: np.ndarray, size: int, percent: int) -> np.ndarray:
+        """Members that may link with a query, in order of doc_id: none that does is left out."""
+        found = []
+        for length, (at, rows) in self.by_length.items():
+            n = min(length, row.shape[1])
+            own, others, sizes = _folded(row, n), _folded(rows, n), self.sizes[at]
+            both = np.minimum(
+                size - np.bitwise_count(own & ~others).sum(axis=1, dtype=np.int64),
+                sizes - np.bitwise_count(others & ~own).sum(axis=1, dtype=np.int64),
+            )
+            found.append(at[100 * both >= percent * (size + sizes - both)])
+        return np.sort(np.concatenate(found))
+
+
+def open_groups(one: Group, two: Group, percent: int, first_only: bool) -> Iterator[tuple[int, int]]:
+    """(doc_id, doc_id) of members that may link and are not in one component yet.
+
+    Members of ``one`` are the queries. Only if the bound by the union of ``two``
+    holds, its members are looked at, again with a bound on the overlap.
+    ``first_only`` gives just the first partner of each query.
     """
-    union, column = np.unique(np.concatenate(two), return_inverse=True)
-    sizes = np.array([len(t) for t in two])
-    asked = []
-    for i, q in enumerate(one):
-        at = np.minimum(np.searchsorted(union, q), len(union) - 1)
-        at = at[union[at] == q]
-        if 100 * len(at) >= percent * len(q):
-            asked.append((i, len(q), at))
-    if not asked:
-        return []
-    rows = np.repeat(np.arange(len(two)), sizes)
-    members = np.zeros((len(two), len(union)), np.float32)
-    members[rows, column] = 1
-    out = []
-    for i, n, at in asked:
-        both = members[:, at].sum(axis=1, dtype=np.float64)
-        for j in np.flatnonzero(100 * both >= percent * (n + sizes - both)).tolist():
-            out.append((i, j))
-    return out
-
-
-def _opened(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    same = np.array_equal(one.ids, two.ids)
+    for i, row in enumerate(one.rows):
+        size = int(one.sizes[i])
+        if not two.may_hold(row, size, percent):
+            continue
+        at = two.partners(row, size, percent)
+        if same:
+            at = at[at < i]
+        at = at[two.components[at] != one.components[i]]
+        for j in at[: 1 if first_only else None].tolist():
+            yield int(one.ids[i]), int(two.ids[j])
+
+
+def _opened(batches: Iterator[pa.RecordBatch], percent: int, first_only: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        known, links = _Joined(), []
-        for same, one, two in zip(*(batch[c].to_pylist() for c in ("same", "one", "two"))):
-            sets = [[np.frombuffer(d["tokens"], np.uint64) for d in side] for side in (one, two)]
-            for i, j in open_groups(*sets, percent):
-                a, b = one[i]["doc_id"], two[j]["doc_id"]
-                if (not same or i < j) and known.join(a, b):
-                    links.append((a, b))
-        u, v = zip(*links) if links else ([], [])
+        found: set[tuple[int, int]] = set()
+        for one, two in zip(batch["one"], batch["two"]):
+            pairs = open_groups(Group(one.as_py()), Group(two.as_py()), percent, first_only)
+            found.update((max(p), min(p)) for p in pairs)
+        u, v = zip(*found) if found else ((), ())
         yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ok = []
+        for one, two in zip(batch["one"], batch["two"]):
+            a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, two))
+            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+            both = int((b[at] == a).sum())
+            ok.append(100 * both >= percent * (len(a) + len(b) - both))
+        yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+
 @contextmanager
 def _arrow_rows(spark: SparkSession, rows: int):
     """Fewer rows to an Arrow batch, for rows that are large."""
@@ -224,42 +263,98 @@ def _groups(classes: DataFrame) -> DataFrame:
     return joined.withColumn("group", F.xxhash64("least", F.pmod(F.xxhash64("doc_id"), F.col("parts")))).drop("parts")
 
 
+def _met(pairs: DataFrame, members: DataFrame, percent: int, first_only: bool) -> DataFrame:
+    """Pairs of documents that may link, of pairs (g1, g2) of groups; what is shuffled are bitmaps."""
+    one = members.select(F.col("group").alias("g1"), F.col("members").alias("one"))
+    two = members.select(F.col("group").alias("g2"), F.col("members").alias("two"))
+    opened = pairs.join(one, "g1").join(two, "g2").select("one", "two")
+    found = opened.mapInArrow(lambda t: _opened(t, percent, first_only), "u long, v long")
+    return kept_on_disk(found.distinct(), "met")[0]
+
+
+def _true(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that link, by their whole sets.
+
+    Partners of one document are dealt to parts of about ``GROUP_DOCS``, and each part
+    gets one copy of its set: a document with very many partners is no hot key.
+    """
+    parts = F.ceil(F.col("n") / GROUP_DOCS)
+    counts = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    dealt = pairs.join(counts, "v").select("u", "v", F.pmod(F.xxhash64("u"), parts).alias("part"))
+    heads = counts.select("v", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    heads = heads.join(sets.select(F.col("doc_id").alias("v"), F.col("tokens").alias("two")), "v")
+    rest = dealt.join(sets.select(F.col("doc_id").alias("u"), F.col("tokens").alias("one")), "u")
+    return rest.join(heads, ["v", "part"]).select("u", "v", "one", "two").mapInArrow(
+        lambda t: _verified(t, percent), "u long, v long"
+    )
+
+
 def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (u, v) between classes, named by their smallest doc_id; enough of them to connect what links."""
+    """Links (u, v) between classes, named by their smallest doc_id; enough of them to connect what links.
+
+    Two rounds. The first opens each group for itself and for the smallest group
+    that has one of its rare tokens, and takes one partner for each document. The second opens
+    all other pairs of groups that share a rare token, but for those that lie in one
+    component already, where no link could tell anything new.
+    """
     classes = described.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"),
-        F.first("n_shingles").alias("n_shingles"),
-        F.first("least").alias("least"),
-        F.first("rare").alias("rare"),
+        *[F.first(c).alias(c) for c in ("n_shingles", "least", "bits", "rare")],
     )
     grouped, _ = kept_on_disk(_groups(classes), "groups")
-    # the matrix: one row for each token and group; ranges of sizes rule out groups before they meet
-    matrix = (
+    # the matrix: one row for each token and group, of tokens that several groups have
+    cells = (
         grouped.select(F.explode("rare").alias("token"), "group", "n_shingles")
         .repartition("token")
         .groupBy("token", "group")
         .agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
     )
-    a, b = matrix.alias("a"), matrix.alias("b")
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.group") < F.col("b.group")))
-    near = (100 * F.col("a.most") >= percent * F.col("b.least")) & (100 * F.col("b.most") >= percent * F.col("a.least"))
-    pairs = met.where(near).select(F.col("a.group").alias("g1"), F.col("b.group").alias("g2")).distinct()
-    several = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = pairs.unionByName(several.select(F.col("group").alias("g1"), F.col("group").alias("g2")))
-    pairs, _ = kept_on_disk(pairs, "pairs")
-
-    wanted = pairs.select(F.col("g1").alias("group")).unionByName(pairs.select(F.col("g2").alias("group"))).distinct()
-    chosen = grouped.join(wanted, "group", "left_semi").select("group", F.col("doc_id").alias("__id"), "key")
-    texts = docs.join(chosen, F.col("doc_id") == F.col("__id")).select("group", "doc_id", "key", "text")
-    sets = texts.mapInArrow(lambda t: _sets(t, size), "group long, doc_id long, tokens binary")
-    # rows of one doc_id may differ in text; equal ones give the same set
-    members = sets.groupBy("group").agg(F.collect_set(F.struct("doc_id", "tokens")).alias("members"))
-    members, _ = kept_on_disk(members, "members")
-    one = members.select(F.col("group").alias("g1"), F.col("members").alias("one"))
-    two = members.select(F.col("group").alias("g2"), F.col("members").alias("two"))
-    opened = pairs.join(one, "g1").join(two, "g2").select((F.col("g1") == F.col("g2")).alias("same"), "one", "two")
-    with _arrow_rows(docs.sparkSession, 64):
-        return kept_on_disk(opened.mapInArrow(lambda t: _opened(t, percent), "u long, v long"), "links")[0]
+    hubs = cells.groupBy("token").agg(
+        F.min("group").alias("hub"),
+        F.max("group").alias("last"),
+        F.min_by("least", "group").alias("hub_least"),
+        F.min_by("most", "group").alias("hub_most"),
+    )
+    matrix, _ = kept_on_disk(cells.join(hubs.where("hub < last").drop("last"), "token"), "matrix")
+    several = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    # ranges of sizes rule out groups before they meet
+    near = (100 * F.col("hub_most") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("hub_least"))
+    stars = matrix.where(near & (F.col("group") != F.col("hub"))).select(F.col("group").alias("g1"), F.col("hub").alias("g2"))
+    stars = stars.distinct().unionByName(several.select(F.col("group").alias("g1"), F.col("group").alias("g2")))
+
+    wanted = matrix.select("group").unionByName(several).distinct()
+    chosen, _ = kept_on_disk(
+        grouped.join(wanted, "group", "left_semi").select("group", "doc_id", "key", "n_shingles", "bits"), "chosen"
+    )
+    ids = chosen.select(F.col("doc_id").alias("__id"), "key")
+    texts = docs.join(ids, F.col("doc_id") == F.col("__id")).select("doc_id", "key", "text")
+    # rows of one doc_id may differ in text; sets other than the wanted fall out
+    sets, _ = kept_on_disk(texts.mapInArrow(lambda t: _sets(t, size), "doc_id long, tokens binary"), "sets")
+
+    def members(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("group").agg(
+            F.collect_list(F.struct("doc_id", "n_shingles", "bits", "component")).alias("members")
+        )
+
+    with _arrow_rows(docs.sparkSession, 256):
+        alone = chosen.withColumn("component", F.col("doc_id"))
+        first, _ = kept_on_disk(_true(_met(stars, members(alone), percent, True), sets, percent), "links")
+        found = components(first)
+        placed = chosen.join(found, F.col("doc_id") == F.col("node"), "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        )
+        placed, _ = kept_on_disk(placed.drop("node"), "placed")
+        spans = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        cells = matrix.select("token", "group", "least", "most").join(spans, "group")
+        a, b = cells.alias("a"), cells.alias("b")
+        met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.group") < F.col("b.group"))
+            & (100 * F.col("a.most") >= percent * F.col("b.least")) & (100 * F.col("b.most") >= percent * F.col("a.least"))
+            & (F.least("a.low", "b.low") < F.greatest("a.high", "b.high")))
+        pairs = met.select(F.col("a.group").alias("g1"), F.col("b.group").alias("g2")).distinct()
+        mixed = spans.where("low < high").select(F.col("group").alias("g1"), F.col("group").alias("g2"))
+        more = _met(pairs.unionByName(mixed), members(placed), percent, False)
+        second, _ = kept_on_disk(_true(more, sets, percent), "links")
+    return first.unionByName(second)
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -283,7 +378,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
         F.col("key").alias("__key"), F.coalesce("component", "first").alias("component_id")
     )
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    joined = described.join(named, F.col("key") == F.col("__key"), "left")
+    joined = described.drop("bits", "rare", "least").join(named, F.col("key") == F.col("__key"), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
