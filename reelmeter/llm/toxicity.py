@@ -69,12 +69,12 @@ def fold(text: str | None) -> str:
 
 
 def entries_of(folded: str) -> set[str]:
-    """What a document offers to the lexicon: " word " and " beginning"."""
+    """What a document offers to the lexicon: " word " and " beginning", just what the automaton finds in it."""
     out = set()
     for w in set(folded.split()):
         if len(w) <= LONGEST:
             out.add(f" {w} ")
-        out.update(f" {w[:k]}" for k in PREFIXES if k < len(w))
+        out.update(f" {w[:k]}" for k in PREFIXES if k <= len(w))
     return out
 
 

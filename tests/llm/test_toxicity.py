@@ -27,6 +27,18 @@ def test_left_out_weights():
     assert m.features("worse", 1)[3] == t.weight(39, 0, 100, 900)
 
 
+def test_counted_is_what_is_found():
+    """An entry is counted in just the documents in which the automaton finds it, so leaving one out stays sound."""
+    texts = ["cat", "cats", "category of cat", "concat ca", "x" * 40 + " cat"]
+    offered = [t.entries_of(t.fold(x)) for x in texts]
+    every = set().union(*offered)
+    automaton = t.Lexicon({e: (5, 0) for e in every}, 10, 10).matcher().automaton
+    for text, own in zip(texts, offered):
+        assert {e for _, e in automaton.iter(t.fold(text))} & every == own
+    clean = t.Lexicon({" cat": (5, 1)}, 10, 10).matcher()
+    assert clean.features("cat", 0)[3] >= clean.features("cat")[3] >= 0
+
+
 def _corpus(spark, n=1500, seed=0):
     r = random.Random(seed)
     vocabulary = ["".join(r.choice("aeioulmnrst") for _ in range(r.randint(3, 8))) for _ in range(500)]
