@@ -54,7 +54,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     path = scratch_path(spark, "conversations")
-    chat.format_conversations(rows.unionByName(extra)).write.parquet(path)
+    chat.format_conversations(rows.unionByName(extra)).write.option("compression", "zstd").parquet(path)
     return chat.read_back(spark, path)
 
 
