@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from reelmeter.llm import chat
 
-PART = st.text(st.sampled_from(list("ab\\<>/turn#\n é") + ["</turn>", "<turn ", "😀"]), max_size=20)
+PART = st.lists(st.sampled_from(list("ab\\<>/turn#\n é") + ["</turn>", "<turn ", "😀"]), max_size=20).map("".join)
 
 
 @settings(max_examples=200, deadline=None)
@@ -55,3 +55,19 @@ def test_odd_rows(spark, tmp_path):
     assert got[1][:2] == (2, brute.sha("\n\n" * 2)) and got[None][0] == 2 and got[None][2] == 1
     assert got[2][1] == brute.sha("user\nsame\n" * 2) and got[3][1] == brute.sha("a>\n\\<turn \nt\n")
     assert _read(spark, frame.where("false"), str(tmp_path / "n")) == {}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(PART, st.text(max_size=30)))
+def test_ranks_give_the_same_tokens(text):
+    """Ids and offsets of the two forms of the vocabulary."""
+    text = text.encode("utf-8", "ignore").decode()
+    both = [chat._with_offsets(chat.tokenizer_path(name), text) for name in (chat.DEFAULT, chat.RANKS)]
+    assert [[x.tolist() for x in found] for found in both][0] == [x.tolist() for x in both[1]]
+
+
+def test_other_tokenizer(spark, tmp_path):
+    frame = spark.createDataFrame(ROWS, "conv_id long, turn long, role string, text string")
+    chat.format_conversations(frame, chat.tokenizer_path(chat.DEFAULT)).write.parquet(str(tmp_path / "c"))
+    got = {r[0]: tuple(r[1:5]) for r in chat.read_back(spark, str(tmp_path / "c")).collect()}
+    assert got == brute.conversations(ROWS)
