@@ -45,7 +45,9 @@ ENDS = {
 }
 #: An end tag does not reach beyond these.
 SCOPES = frozenset("table td th caption body html template".split())
-#: Elements nested deeper become siblings.
+#: End tags of a table and its parts reach out of cells, but not out of the table.
+TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th".split())
+#: Elements nested deeper become siblings; list items may go one deeper, which leaves their text in an item.
 DEEPEST = 200
 
 _TOKEN = re.compile(
@@ -103,8 +105,7 @@ def tree(page: str) -> Node:
             _close(stack, "head")
             continue
         if name in BLOCK and name != "head":
-            if any(x.tag == "p" for x in stack[-8:]):
-                _close(stack, "p")
+            _close(stack, "p")
             if stack[-1].tag == "head":
                 stack.pop()
         if name in ENDS:
@@ -120,7 +121,7 @@ def tree(page: str) -> Node:
             text, at = (page[at : stop.start()], stop.end()) if stop else (page[at:], n)
             node.children.append(html.unescape(text))
             continue
-        if len(stack) < DEEPEST:
+        if len(stack) < DEEPEST + (name == "li"):
             stack.append(node)
     return root
 
@@ -131,11 +132,12 @@ def _open(stack: list[Node], node: Node) -> None:
 
 
 def _close(stack: list[Node], name: str) -> None:
+    borders = {"table"} if name in TABLE_PARTS else SCOPES
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag == name:
             del stack[k:]
             return
-        if stack[k].tag in SCOPES:
+        if stack[k].tag in borders:
             return
 
 
@@ -161,7 +163,8 @@ def width(text: str) -> int:
 class _Lines:
     """Lines under way: white space is folded, blank lines between blocks are not repeated."""
 
-    def __init__(self):
+    def __init__(self, in_item: bool = False):
+        self.in_item = in_item
         self.lines: list[str] = []
         self.now = ""
         self.gap = 0
@@ -235,15 +238,15 @@ def _raw(node: Node) -> str:
 
 
 def _inner(node: Node) -> list[str]:
-    lines = _Lines()
+    lines = _Lines(in_item=node.tag == "li")
     _render(node, lines)
     lines.line()
     return lines.lines
 
 
 def _list(node: Node, out: _Lines) -> None:
-    nested = out.now.strip(" ") != "" or not out.lines
-    out.line(0 if nested else out.gap)
+    gap = 0 if out.in_item else 1  # lists in items stand close
+    out.line(gap)
     start = node.attribute("start") if node.tag == "ol" and node.attributes else None
     number = int(start) if start and re.fullmatch(r"-?\d{1,9}", start) else 1
     loose = Node("li")
@@ -261,7 +264,7 @@ def _list(node: Node, out: _Lines) -> None:
         elif child is not None and (not isinstance(child, str) or child.strip()):
             loose.children = [child]  # text or elements outside of items
             item(loose, "  ")
-    out.line()
+    out.line(gap)
 
 
 def _table(node: Node) -> list[str]:
