@@ -74,7 +74,9 @@ def test_planted_passages(spark):
     assert {d for d, r in got.items() if r["repeated"]} == dirty
     for ds in planted.values():
         for d in ds:
-            assert list(got[d]["shares_with"]) == [ds[0] if d != ds[0] else ds[-1]]
+            shared = list(got[d]["shares_with"])
+            # chunks at the passage's borders may join a part of its documents: further ids, none of others
+            assert (ds[0] if d != ds[0] else ds[-1]) in shared and set(shared) <= set(ds) - {d}
             assert 20 <= got[d]["longest_run"] and (got[d]["n_removed_words"] == 0) == (d == ds[0])
 
 
