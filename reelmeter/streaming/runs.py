@@ -74,12 +74,14 @@ def score_stream(
     """Score what has arrived, skipping ids that earlier batches stored.
 
     The skip comes before scoring: models never see a processed id again.
+    An id that arrives several times in one batch is scored once, on one of its rows.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         done = earlier_batches(batch.sparkSession, sink, batch_id)
         if done is not None:
             batch = batch.join(done.select(key).distinct(), key, "left_anti")
+        batch = batch.dropDuplicates([key])
         score(batch).write.mode("overwrite").parquet(_batch_path(sink, batch_id))
 
     _run(stream, handle, checkpoint)

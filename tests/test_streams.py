@@ -76,6 +76,15 @@ def test_replayed_batch_keeps_its_rows(spark, feed):
     assert spark.read.parquet(sink).count() == before
 
 
+def test_repeats_in_one_batch_are_scored_once(spark, feed):
+    events, deliver, stream, (sink, checkpoint) = feed
+    deliver(0)
+    twice = lambda: stream().withColumn("video_id", F.floor(F.col("event_id") / 2))
+    streams.score_stream(twice(), lambda batch: batch.select("video_id", "value"), sink, checkpoint)
+    got = spark.read.parquet(sink)
+    assert got.count() == got.select("video_id").distinct().count() > 0
+
+
 def test_metric_over_arriving_clips(spark, tmp_path):
     folder = tmp_path / "clips"
     folder.mkdir()
