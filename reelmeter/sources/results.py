@@ -94,12 +94,19 @@ def skip_processed(clips: DataFrame, processed: DataFrame | None, key: str = "vi
     return clips.join(processed_ids(processed, key), key, "left_anti")
 
 
-def merge_results(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("video_id",)) -> DataFrame:
+def merge_results(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Union of both with one row per key; a stored row wins over a new one.
 
-    Aggregation instead of a window, so copies of one id meet partially
-    reduced. Equal ages are decided by the remaining columns, in order.
+    The key is the clip, with the part where results are stored in parts: all
+    parts of a clip stay. A stored clip wins as a whole, so parts of two ages
+    never meet in one clip. Aggregation instead of a window, so copies of one
+    id meet partially reduced. Equal ages are decided by the remaining
+    columns, in order.
     """
+    if keys is None:
+        keys = ("video_id", "part_no") if "part_no" in old.columns else ("video_id",)
+    if "part_no" in keys:
+        new = _not_stored(new, old, [k for k in keys if k != "part_no"])
     columns = [c for c in old.columns if c not in keys]
     both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
     ordered = [f.name for f in old.schema if f.name in columns and not _has_map(f.dataType)]
@@ -109,6 +116,12 @@ def merge_results(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("video_
     return kept.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
 
 
+def _not_stored(new: DataFrame, old: DataFrame, clip: Sequence[str]) -> DataFrame:
+    """Rows of clips that ``old`` has no row of; a null id is an id like any other."""
+    ids = old.select(F.struct(*clip).alias("_stored")).distinct()
+    return new.join(ids, F.struct(*clip) == F.col("_stored"), "left_anti")
+
+
 def _has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _has_map(kind.elementType)

@@ -130,3 +130,19 @@ def test_merge_keeps_stored_rows(spark):
     new = spark.createDataFrame([("b", 9.0, {}), ("c", 3.0, {})], schema)
     got = results.merge_results(old, new).orderBy("video_id").collect()
     assert [tuple(r) for r in got] == [("a", 1.0, {0: 1.0}), ("b", 2.0, {}), ("c", 3.0, {})]
+
+
+def test_merge_keeps_all_parts_of_a_clip(spark):
+    schema = "video_id string, part_no int, score double, m map<int,double>"
+    old = spark.createDataFrame(
+        [("a", 0, 1.0, {0: 1.0}), ("a", 1, 1.0, {1: 1.0}), (None, 0, 4.0, {}), (None, 1, 4.0, {})], schema
+    )
+    new = spark.createDataFrame(
+        [("a", 0, 9.0, {0: 9.0}), ("a", 1, 9.0, {1: 9.0}), ("a", 2, 9.0, {2: 9.0}), (None, 2, 9.0, {}),
+         ("c", 0, 3.0, {0: 3.0}), ("c", 1, 3.0, {1: 3.0})], schema,
+    )
+    got = results.merge_results(old, new).orderBy("video_id", "part_no").collect()
+    assert [tuple(r) for r in got] == [
+        (None, 0, 4.0, {}), (None, 1, 4.0, {}), ("a", 0, 1.0, {0: 1.0}), ("a", 1, 1.0, {1: 1.0}),
+        ("c", 0, 3.0, {0: 3.0}), ("c", 1, 3.0, {1: 3.0}),
+    ]
