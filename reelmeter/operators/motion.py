@@ -26,19 +26,29 @@ def frame_pairs(
 ) -> DataFrame:
     """Each frame with the one before it; n frames give n-1 pairs.
 
-    ``index`` numbers a clip's frames 0, 1, 2, ... Clips are cut into segments
-    of fixed length and the last frame of a segment is also sent to the next
-    one, so one shuffle suffices and no task holds more than a segment of a
-    clip, however long the clip is. Shrink the payload (gray, small) before.
+    ``index`` orders a clip's frames; numbers may be missing. Clips are cut
+    into segments of fixed length and the last frame that a segment has is
+    also sent to the next segment that has any, so the payload is shuffled
+    once and no task holds more of it than a segment of a clip, however long
+    the clip is. Which frames are last is found before from numbers alone: a
+    row per segment, so ``frames`` is evaluated twice, the first time without
+    payload. Shrink the payload (gray, small) before.
     """
     seg = whole(index, segment)
-    is_tail = F.pmod(F.col(index), F.lit(segment)) == segment - 1
-    rows = frames.select(
+    ends = frames.groupBy("clip_id", seg.alias("_seg")).agg(F.max(index).alias("_end"))
+    following = F.lead("_seg").over(Window.partitionBy("clip_id").orderBy("_seg"))
+    tails = ends.select(
+        F.struct("clip_id", F.col("_end").alias(index)).alias("_frame"), following.alias("_next")
+    ).where(F.col("_next").isNotNull())
+    keyed = frames.select("clip_id", index, *keep, *payload, F.struct("clip_id", index).alias("_frame"))
+    rows = attach(keyed, tails, "_frame", F.col(index), how="left").select(
         "clip_id",
         index,
         *keep,
         *payload,
-        F.explode(F.when(is_tail, F.array(seg, seg + 1)).otherwise(F.array(seg))).alias("_seg"),
+        F.explode(
+            F.when(F.col("_next").isNotNull(), F.array(seg, "_next")).otherwise(F.array(seg))
+        ).alias("_seg"),
     )
     w = Window.partitionBy("clip_id", "_seg").orderBy(index)
     before = F.lag(F.struct(F.col(index).alias("at"), *payload)).over(w)

@@ -122,6 +122,16 @@ def test_pairs_do_not_depend_on_segments(spark, segment):
     assert {(r.clip_id, r.pair_no, r.prev_x, r.x) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 4, 256])
+def test_pairs_bridge_missing_frames(spark, segment):
+    present = {"a": [0, 1, 2, 4, 5, 6, 9, 20, 21], "b": [7], "c": [3, 8], None: [0, 5]}
+    rows = [(c, n, n * 10) for c, numbers in present.items() for n in numbers]
+    df = spark.createDataFrame(rows, "clip_id string, sample_no bigint, x int").repartition(4)
+    got = motion.frame_pairs(df, payload=("x",), segment=segment).collect()
+    want = {(c, p, p * 10, n * 10) for c, numbers in present.items() for p, n in zip(numbers, numbers[1:])}
+    assert {(r.clip_id, r.pair_no, r.prev_x, r.x) for r in got} == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize(
     "dc, dr, want",
     [
