@@ -383,11 +383,19 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
 
 
 def drop_similar(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each component, that of the smallest doc_id, and its columns.
+    """The rows of ``docs`` with one row of each component, one with its smallest doc_id, and its columns.
 
-    Of rows with the same doc_id one stays; rows with a null doc_id all stay.
+    Rows are numbered first and links are between rows, so rows that share a doc_id
+    stay apart where their texts do not link. Of rows with the same doc_id and no
+    words one stays; rows with a null doc_id all stay.
     """
-    found = similar_documents(docs, size, percent)
-    losers = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(losers, F.col("doc_id") == F.col("__id"), "left_anti")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    named = docs.where("doc_id IS NOT NULL").withColumn("__row", F.monotonically_increasing_id())
+    numbered, _ = kept_on_disk(named, "numbered")
+    found = similar_documents(numbered.select(F.col("__row").alias("doc_id"), "text"), size, percent)
+    found = found.withColumnRenamed("doc_id", "__row").join(numbered.select("__row", "doc_id"), "__row")
+    wordless = F.col("n_shingles") == 0
+    first = found.groupBy(
+        F.when(wordless, F.col("doc_id")).alias("alone"), F.when(~wordless, F.col("component_id")).alias("component")
+    ).agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    stay = numbered.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").drop("__row")
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))

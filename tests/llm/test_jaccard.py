@@ -54,6 +54,23 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert jaccard_join.drop_similar(no_documents).count() == 0
 
 
+def test_rows_that_share_an_id_stay_apart(spark):
+    def text(word, n=12):
+        return " ".join(f"{word}{i}" for i in range(n))
+
+    rows = [
+        (1, text("a"), "x"), (2, text("a"), "y"), (2, text("b"), "z"), (3, text("c"), "x"), (3, text("d"), "y"),
+        (4, text("c"), "z"), (5, text("b"), "x"), (6, None, "x"), (6, None, "y"), (6, text("e"), "z"), (6, text("e"), "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    left = jaccard_join.drop_similar(docs, 3, 90)
+    assert left.columns == docs.columns
+    want = [(1, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (6, None), (6, text("e"))]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+    long = spark.createDataFrame([(8, text("n", 40)), (7, text("n", 41)), (8, text("m"))], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in jaccard_join.drop_similar(long, 3, 90).collect()} == {(7, text("n", 41)), (8, text("m"))}
+
+
 def test_components(spark):
     r = random.Random(0)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(200, 200)]
