@@ -65,9 +65,9 @@ class WordTokens:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where those of each text end. Null texts have none."""
         texts = pc.fill_null(texts, "")
-        # up to U+00FF, lower-casing here or in the library is the same
+        # up to U+00FF, lower-casing here or in the library is the same, but for special tokens, whose case counts
         lower = pc.utf8_lower(texts)
-        texts = pc.if_else(pc.match_substring_regex(texts, r"[^\x{00}-\x{FF}]"), texts, lower)
+        texts = pc.if_else(pc.match_substring_regex(texts, r"[^\x{00}-\x{FF}]|<\|"), texts, lower)
         parts = pc.ascii_split_whitespace(texts)
         words = parts.flatten().dictionary_encode()
         found = [self._of_part(w) for w in words.dictionary.to_pylist()]

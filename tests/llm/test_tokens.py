@@ -29,6 +29,12 @@ def test_fixed_texts():
     assert _encoded(TEXTS) == [brute.token_ids(t) for t in TEXTS]
 
 
+def test_special_tokens_in_other_letter_case():
+    texts = ["a <|ENDOFTEXT|> b", "A<|StartOfText|>B <|endoftext|> C", "É <|Endoftext|> <|", "<|ENDOFTEXT|> ΑΣ"]
+    assert _encoded(texts) == [brute.token_ids(t) for t in texts]
+    assert _encoded(texts)[0] == [320, 27, 347, 40786, 4160, 91, 285, 321, 1]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60), min_size=1, max_size=5))
 def test_any_text(texts):
