@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes object audio video canvas svg math datalist "
+    "head script style template noscript iframe noembed noframes object audio video canvas datalist "
     "textarea select title meta link".split()
 )
+#: Unseen in svg and math.
+FOREIGN_UNSEEN = frozenset("desc metadata defs symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside details dialog dd div dt fieldset figcaption footer form header hgroup li "
@@ -47,8 +49,6 @@ ENDS = {
 SCOPES = frozenset("table td th caption body html template".split())
 #: End tags of a table and its parts reach out of cells, but not out of the table.
 TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th".split())
-#: Elements nested deeper become siblings; list items may go one deeper, which leaves their text in an item.
-DEEPEST = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<",
@@ -114,18 +114,23 @@ def tree(page: str) -> Node:
             _open(stack, Node("tr"))
         node = Node(name, m[3])
         stack[-1].children.append(node)
-        if name in VOID or m[3].endswith("/") and name in ("svg", "path"):
+        if name in FOREIGN_UNSEEN and _foreign(stack):
+            node.attributes += " hidden"
+        if name in VOID or m[3].endswith("/") and (name in ("svg", "math", "path") or _foreign(stack)):
             continue
         if name in RAW:  # text up to the end tag, whatever it looks like
             stop = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.IGNORECASE).search(page, at)
             text, at = (page[at : stop.start()], stop.end()) if stop else (page[at:], n)
             node.children.append(html.unescape(text))
             continue
-        if len(stack) < DEEPEST + (name == "li"):
-            stack.append(node)
+        stack.append(node)
     return root
 
 
+def _foreign(stack: list[Node]) -> bool:
+    return any(n.tag in ("svg", "math") for n in stack)
+
+
 def _open(stack: list[Node], node: Node) -> None:
     stack[-1].children.append(node)
     stack.append(node)
@@ -191,7 +196,22 @@ class _Lines:
         self.gap, self.mark = 0, ""
 
 
-def _render(node: Node, out: _Lines) -> None:
+def _finished(step: Generator):
+    """What a renderer returns. Renderers yield the renderers they need, so pages of any depth fit Python's stack."""
+    steps, value = [step], None
+    while steps:
+        try:
+            step = steps[-1].send(value)
+        except StopIteration as end:
+            steps.pop()
+            value = end.value
+        else:
+            steps.append(step)
+            value = None
+    return value
+
+
+def _render(node: Node, out: _Lines) -> Generator:
     for child in node.children:
         if isinstance(child, str):
             out.text(child)
@@ -210,68 +230,75 @@ def _render(node: Node, out: _Lines) -> None:
             continue
         elif tag == "pre":
             out.line(1)
-            for x in _raw(child).strip("\n").split("\n"):
+            for x in (yield _raw(child)).strip("\n").split("\n"):
                 out.put(x.rstrip())
             out.line(1)
         elif tag in ("ul", "ol", "menu"):
-            _list(child, out)
+            yield _list(child, out)
         elif tag == "table":
             out.line(1)
-            for x in _table(child):
+            for x in (yield _table(child)):
                 out.put(x)
             out.line(1)
         elif tag in BLOCK:
             gap = 1 if tag in SPACED else 0
             out.line(gap)
-            _render(child, out)
+            yield _render(child, out)
             out.line(gap)
         else:
-            _render(child, out)
+            yield _render(child, out)
             if tag in ("td", "th"):  # cells outside a table
                 out.text(" ")
 
 
-def _raw(node: Node) -> str:
-    return "".join(
-        c if isinstance(c, str) else "\n" if c.tag == "br" else _raw(c) if c.visible else "" for c in node.children
-    )
+def _raw(node: Node) -> Generator:
+    parts = []
+    for c in node.children:
+        if isinstance(c, str):
+            parts.append(c)
+        elif c.tag == "br":
+            parts.append("\n")
+        elif c.visible:
+            parts.append((yield _raw(c)))
+    return "".join(parts)
 
 
-def _inner(node: Node) -> list[str]:
+def _inner(node: Node) -> Generator:
     lines = _Lines(in_item=node.tag == "li")
-    _render(node, lines)
+    yield _render(node, lines)
     lines.line()
     return lines.lines
 
 
-def _list(node: Node, out: _Lines) -> None:
+def _list(node: Node, out: _Lines) -> Generator:
     gap = 0 if out.in_item else 1  # lists in items stand close
     out.line(gap)
     start = node.attribute("start") if node.tag == "ol" and node.attributes else None
     number = int(start) if start and re.fullmatch(r"-?\d{1,9}", start) else 1
     loose = Node("li")
 
-    def item(li: Node, mark: str) -> None:
-        lines = _inner(li)
+    def item(li: Node, mark: str) -> Generator:
+        lines = yield _inner(li)
         for k, x in enumerate(lines):
             out.put((mark if k == 0 else " " * len(mark)) + x if x else "")
 
     for child in [*node.children, None]:
         if isinstance(child, Node) and child.tag == "li":
             if child.visible:
-                item(child, f"{number}. " if node.tag == "ol" else "- ")
+                yield item(child, f"{number}. " if node.tag == "ol" else "- ")
                 number += 1
         elif child is not None and (not isinstance(child, str) or child.strip()):
             loose.children = [child]  # text or elements outside of items
-            item(loose, "  ")
+            yield item(loose, "  ")
     out.line(gap)
 
 
-def _table(node: Node) -> list[str]:
+def _table(node: Node) -> Generator:
     rows: list[list[list[str]]] = []
     before: list[str] = []
 
-    def walk(part: Node) -> None:
+    def walk(part: Node) -> Generator:
+        held: dict[int, int] = {}  # columns that cells above take, and for how many rows
         for child in part.children:
             if isinstance(child, str):
                 if child.strip():
@@ -280,7 +307,11 @@ def _table(node: Node) -> list[str]:
                 continue
             elif child.tag == "tr":
                 cells = []
+                below = {k: n - 1 for k, n in held.items() if n > 1}
                 for cell in child.children:
+                    if not isinstance(cell, str) and cell.visible or isinstance(cell, str) and cell.strip():
+                        while len(cells) in held:
+                            cells.append([])
                     if isinstance(cell, str):
                         if cell.strip():
                             cells.append([_BLANK.sub(" ", cell).strip(" ")])
@@ -288,17 +319,24 @@ def _table(node: Node) -> list[str]:
                         wrapped = cell if cell.tag in ("td", "th") else Node("td")
                         if wrapped is not cell:
                             wrapped.children = [cell]
-                        cells.append(_inner(wrapped))
+                        first = len(cells)
+                        cells.append((yield _inner(wrapped)))
                         span = cell.attribute("colspan") if cell.attributes else None
                         cells += [[]] * (min(int(span), 100) - 1 if span and re.fullmatch(r"[1-9]\d{0,3}", span) else 0)
+                        down = cell.attribute("rowspan") if cell.attributes else None
+                        if down and re.fullmatch(r"\d{1,5}", down) and int(down) != 1:  # 0: to the end of the part
+                            below |= dict.fromkeys(range(first, len(cells)), int(down) - 1 if int(down) else 1 << 30)
+                while len(cells) in held:
+                    cells.append([])
+                held = below
                 if any(cells):
                     rows.append(cells)
             elif child.tag in ("thead", "tbody", "tfoot"):
-                walk(child)
+                yield walk(child)
             else:  # captions, and what does not belong in a table
-                before.extend(_inner(child))
+                before.extend((yield _inner(child)))
 
-    walk(node)
+    yield walk(node)
     widths = [0] * max(map(len, rows), default=0)
     for cells in rows:
         for k, cell in enumerate(cells):
@@ -317,7 +355,7 @@ def rendered(page: str | None) -> str:
     if not page:
         return ""
     root = tree(page)
-    return "\n".join(_inner(root)) if root.visible else ""
+    return "\n".join(_finished(_inner(root))) if root.visible else ""
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

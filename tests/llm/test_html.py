@@ -47,6 +47,28 @@ def test_deep_and_long():
     assert rendered(long).count("word") == 100_000
 
 
+def test_hidden_text_at_any_depth():
+    deep = "<div>" * 400
+    assert rendered(deep + "<span hidden>no</span>yes") == "yes"
+    assert rendered("<div hidden>" + deep + "<div>x</div>no" + "</div>" * 401 + "yes") == "yes"
+    assert rendered("<b>" * 5000 + "<pre>" + "<i>" * 5000 + " x") == " x"
+    assert rendered("<ul><li>" * 300 + "x") == "- " * 300 + "x"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<svg><rect/><title>no</title><desc>no</desc><text>label</text></svg>y", "labely"),
+        ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>", "a | b |  | c\nd |   |  | e"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d</table>", "a | b\n  | c\nd"),
+    ],
+)
+def test_shown_and_spanned(page, text):
+    assert rendered(page) == text
+
+
 def _words(page):
     """All words outside of tags, invisible elements gone; enough for pages without hidden parts."""
     page = re.sub(r"(?s)<!--.*?-->|<(script|style|title|head)\b.*?</\1>", " ", page)
