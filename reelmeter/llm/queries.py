@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmeter.llm import (
+    centroids,
     chat,
     decontamination,
     html_text,
@@ -16,6 +17,8 @@ from reelmeter.llm import (
     substrings,
     token_files,
     toxicity,
+    url_rules,
+    whitening,
 )
 from reelmeter.llm.sql import ORACLES  # noqa: F401
 from reelmeter.session import scratch_path
@@ -80,6 +83,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+#: The rules of ``op11_url_rules``.
+URL_RULES = (
+    url_rules.Rule("org", "/", "allow"),
+    url_rules.Rule("example.org", "/es/", "block"),
+    url_rules.Rule("example.org", "/en/1", "block"),
+    url_rules.Rule("com", "/fr/", "allow"),
+    url_rules.Rule("com", "/de/", "block"),
+)
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filter_urls(_table(spark, sf_dir, "pages"), url_rules.rule_table(spark, list(URL_RULES)))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,5 +118,8 @@ QUERIES = {
         op8_packing,
         op9_substrings,
         op10_toxicity,
+        op11_url_rules,
+        op12_centroids,
+        op13_whitening,
     )
 }

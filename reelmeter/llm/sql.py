@@ -60,11 +60,11 @@ s AS (
          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
   FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 90 * (x.n + y.n - both)),
+  WHERE 100 * common >= 90 * (x.n + y.n - common)),
 either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT doc_id, doc_id AS other FROM documents
@@ -131,10 +131,50 @@ SELECT doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, length(t.text)::BIGI
   sha256(t.text) AS text_sha256 FROM documents LEFT JOIN t USING (doc_id)"""
 
 
+_URLS = r"""
+WITH rules(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+fits AS (
+  SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (n)"""
+
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """Vectors and centroids as a row for every component; the rounds are written out one after the other."""
+    steps = ["""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS MATERIALIZED (SELECT n, unnest(range(64)) AS j, unnest(x) AS x FROM kept),
+chosen AS (SELECT x, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k FROM kept),
+c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS j, unnest(x) AS x FROM chosen WHERE k < %d)""" % k]
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} AS (SELECT n, k, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{i} c USING (j) GROUP BY n, k),
+a{i} AS MATERIALIZED (SELECT n, arg_min(k, d * 1000 + k) AS k, min(d) AS d FROM d{i} GROUP BY n)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT k, j, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x FROM a{i} JOIN v USING (n) GROUP BY k, j),
+c{i + 1} AS MATERIALIZED (SELECT c.k, c.j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.k = c.k AND m.j = c.j)""")
+    return ",".join(steps) + f"""
+, h AS (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY k)
+SELECT vec_id, k::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, h AS centroid_sha256 FROM a{rounds} JOIN kept USING (n) JOIN h USING (k)"""
+
+
 ORACLES = {
     "op1_quality": _quality(),
     "op2_jaccard": _JACCARD,
     "op3_decontamination": _DECONTAMINATION,
     "op6_chat": _CHAT,
     "op7_line_dedup": _LINES,
+    "op11_url_rules": _URLS,
+    "op12_centroids": _clusters(),
 }
