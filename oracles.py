@@ -206,6 +206,13 @@ ORACLES: dict[str, str] = {
         SELECT clip_id, frame_no, end_y AS height,
           list_aggregate(list_transform(g[1 : end_y * 8], lambda x: printf('%02X', x)), 'string_agg', '') AS pixels
         FROM lines JOIN plan USING (clip_id)""",
+    "stored_frames": f"""WITH {GRAY} SELECT clip_id, (frame_no // 2)::BIGINT AS sample_no, frame_no,
+          list_aggregate(list_transform(g, lambda x: printf('%02X', x)), 'string_agg', '') AS pixels FROM lines WHERE frame_no % 2 = 0""",
+    "stored_trim": f"""WITH {GRAY} SELECT clip_id, frame_no,
+          list_aggregate(list_transform(g, lambda x: printf('%02X', x)), 'string_agg', '') AS pixels FROM lines JOIN counts USING (clip_id)
+        WHERE total / 2.0 - 3 <= 0 OR frame_no < trunc((total / 2.0 - 3) * 2)""",
+    "frame_store_scan": f"""WITH {GRAY} SELECT clip_id, frame_no, 8 AS height, 8 AS width, CASE WHEN frame_no < 16 THEN 'early' ELSE 'late' END AS part,
+          list_aggregate(list_transform(g, lambda x: printf('%02X', x)), 'string_agg', '') AS pixels FROM lines""",
     "frame_pairs": f"""WITH {EVENT_FRAMES},
         p AS (SELECT clip_id, sample_no - 1 AS pair_no, lag(score) OVER (PARTITION BY clip_id ORDER BY sample_no) AS prev_score, score FROM ef)
         SELECT * FROM p WHERE pair_no >= 0""",
@@ -332,3 +339,4 @@ ORACLES: dict[str, str] = {
     "stream_running_mean": "SELECT user_id AS clip_id, count(*) AS n, round(avg(value), 6) AS mean_score FROM events GROUP BY 1",
     "stream_dedupe": "SELECT DISTINCT user_id AS video_id FROM events",
 }
+ORACLES["stored_crop"] = ORACLES["apply_crop"]

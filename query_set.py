@@ -13,7 +13,7 @@ from reelmeter.functions import text, vectors, video
 from reelmeter.functions.frames import black_region, crop_boundary, to_gray
 from reelmeter.operators import cropping, metrics, motion, ordering, runlog, sampling, scoring
 from reelmeter.session import scratch_path, task_count
-from reelmeter.sources import files, results
+from reelmeter.sources import files, frame_store, results
 from reelmeter.streaming import runs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -316,6 +316,51 @@ def crop_clips(spark, sf):
     return cropped.select("clip_id", "frame_no", "height", F.hex("pixels").alias("pixels"))
 
 
+def _store(spark, sf):
+    path = s.gray_store(spark, sf)
+    return path, frame_store.frame_index(spark, path)
+
+
+def _hexed(frames, *columns):
+    return frames.select("clip_id", *columns, F.hex("pixels").alias("pixels"))
+
+
+@query
+def stored_frames(spark, sf):
+    """Frames of a store at a time step of a second: only theirs are read."""
+    path, index = _store(spark, sf)
+    chosen = sampling.sample_frames(index, s.gray_meta(spark, sf).withColumn("fps", F.lit(2.0)))
+    return _hexed(frame_store.read_pixels(chosen, path), "sample_no", "frame_no")
+
+
+@query
+def stored_trim(spark, sf):
+    path, index = _store(spark, sf)
+    plan = sampling.trim_plan(s.gray_meta(spark, sf).withColumn("fps", F.lit(2.0)), 3)
+    return _hexed(frame_store.read_pixels(sampling.apply_trim(index, plan), path), "frame_no")
+
+
+@query
+def stored_crop(spark, sf):
+    """Plan and crop of a store: five frames a clip are read for the plan, then the rows that stay."""
+    path, index = _store(spark, sf)
+    plan = cropping.clip_crop_plan(
+        s.gray_meta(spark, sf), index, fetch=lambda rows: frame_store.read_pixels(rows, path), **RULES
+    )
+    kept = frame_store.crop_places(index, plan, depth=1)
+    return _hexed(frame_store.read_pixels(kept, path), "frame_no", "height")
+
+
+@query
+def frame_store_scan(spark, sf):
+    """The store as a data source, in two reads with filters that it takes over."""
+    path = s.gray_store(spark, sf)
+    early = frame_store.read_frame_store(spark, path).where("frame_no < 16")
+    late = frame_store.read_frame_store(spark, path).where("frame_no >= 16")
+    both = early.withColumn("part", F.lit("early")).union(late.withColumn("part", F.lit("late")))
+    return _hexed(both, "frame_no", "height", "width", "part")
+
+
 @query
 def frame_pairs(spark, sf):
     return motion.frame_pairs(s.event_frames(spark, sf), payload=("score",))

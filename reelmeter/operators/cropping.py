@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,16 +81,24 @@ def crop_status(plan: DataFrame) -> DataFrame:
 
 
 def clip_crop_plan(
-    meta: DataFrame, frames: DataFrame, sample_frames: int = 5, darkness: int = DARKNESS, **rules
+    meta: DataFrame,
+    frames: DataFrame,
+    sample_frames: int = 5,
+    darkness: int = DARKNESS,
+    fetch: Callable[[DataFrame], DataFrame] | None = None,
+    **rules,
 ) -> DataFrame:
     """Crop plan per clip from a few evenly spaced frames.
 
     Sampled frame numbers come from metadata and are matched where the frames
     are, so no pixels move. A clip without a readable frame is skipped.
+    ``frames`` may be an index without pixels; then ``fetch`` reads those of the sampled rows.
     """
     numbers = linspace_numbers(F.col("total_frames"), sample_frames)
     sampled = frames_at(frames, meta.select("clip_id", numbers.alias("wanted")))
-    gray = gray_frames(sampled) if "gray" not in frames.columns else sampled
+    if fetch is not None:
+        sampled = fetch(sampled)
+    gray = gray_frames(sampled) if "gray" not in sampled.columns else sampled
     medians = median_crop(frame_crop(row_brightness(gray, darkness), **rules))
     every_clip = meta.select("clip_id", F.col("height").alias("meta_height")).join(
         medians, "clip_id", "left"

@@ -70,6 +70,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/reelmeter/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    system, target = _hadoop_path(spark, path)
+    return system.exists(target)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders or files that nothing reads any more."""
+    for path in paths:
+        system, target = _hadoop_path(spark, path)
+        system.delete(target, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from reelmeter.functions.frames import to_gray
 from reelmeter.operators.ordering import dense_index
+from reelmeter.session import scratch_path
+from reelmeter.sources.frame_store import write_frame_store
 
 # Buckets for part names: colour and temperature words, then sizes.
 PART_BUCKETS = (("warm", ("red", "hot")), ("cool", ("blue", "cold")), ("big", ("large",)), ("little", ("small",)))
@@ -123,6 +125,16 @@ def gray_frames(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def gray_store(spark: SparkSession, sf: str) -> str:
+    """The gray frames as a frame store, newly written."""
+    path = scratch_path(spark, "gray-store")
+    frames = gray_frames(spark, sf).select(
+        "clip_id", "frame_no", "height", "width", F.lit("GRAY").alias("channels"), F.col("gray").alias("pixels")
+    )
+    write_frame_store(frames, path)
+    return path
+
+
 def gray_meta(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "embeddings")
