@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmeter.llm.common import kept_on_disk
+from reelmeter.session import task_count
 
 #: Words that a digested chunk has at least.
 LEAST_WORDS = 16
@@ -118,20 +119,49 @@ def _chunked(batches: Iterator[pa.RecordBatch], least_words: int) -> Iterator[pa
 
 _ROWS = "doc_id long, n_words long, first int, words int, digest long"
 
+#: A digest with more than this share of all chunks is hot; there are fewer of those than one over it.
+HOT_SHARE = 1 / 1_000
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """Chunks of ``rows`` that occur more than once: doc_id, first, words, digest, is_first, other.
 
-    ``is_first`` marks the occurrence of the smallest (doc_id, first); ``other``
-    is the smallest doc_id of the chunk, or for that document the largest one.
+def hot_digests(found: DataFrame) -> list[int]:
+    """Digests that hold more than ``HOT_SHARE`` of the chunks, and perhaps some that hold little less.
+
+    A sketch of frequent items per task, merged by aggregation: it bounds what a task and the driver hold, and
+    an item whose share is above its error is never missed. Only the column of digests is read.
     """
-    found = rows.where("digest IS NOT NULL")
+    most = int(2 / HOT_SHARE)
+    row = found.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(digest, {most}, {10 * most})").alias("top")).first()
+    return [x["item"] for x in row["top"] or [] if x["count"] > HOT_SHARE * row["n"]]
+
+
+def _twice(found: DataFrame) -> DataFrame:
+    """Digests that occur more than once, with the first occurrence and the largest doc_id."""
+    # ``words`` is named so that this reads the columns that the join reads, and shares its exchange
     twice = found.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count("words").alias("n"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "first")).alias("one"),
         F.max("doc_id").alias("most"),
     )
-    joined = found.join(twice.where("n > 1"), "digest")
+    return twice.where("n > 1")
+
+
+def repeated_chunks(rows: DataFrame) -> DataFrame:
+    """Chunks of ``rows`` that occur more than once: doc_id, first, words, digest, is_first, other.
+
+    ``is_first`` marks the occurrence of the smallest (doc_id, first); ``other``
+    is the smallest doc_id of the chunk, or for that document the largest one.
+    ``rows`` should be a stored table. Chunks are shuffled by digest once, for
+    the count and the join back. Hot digests stay where they are: their counts are
+    combined before the shuffle, and a row for each of them is broadcast.
+    """
+    found = rows.where("digest IS NOT NULL").select("doc_id", "first", "words", "digest")
+    hot = hot_digests(found)
+    is_hot = F.col("digest").isin(hot) if hot else F.lit(False)
+    dealt = found.where(~is_hot).repartition(task_count(rows.sparkSession), "digest")
+    joined = dealt.join(_twice(dealt).hint("merge"), "digest")
+    if hot:
+        few = found.where(is_hot)
+        joined = joined.unionByName(few.join(F.broadcast(_twice(few)), "digest"))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "first") == F.col("one")
     other = F.when(F.col("one.doc_id").eqNullSafe(F.col("doc_id")), F.col("most")).otherwise(F.col("one.doc_id"))
     return joined.select("doc_id", "first", "words", "digest", first.alias("is_first"), other.alias("other"))
