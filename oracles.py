@@ -334,9 +334,18 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey AS video_id, round(coalesce(m, 'NaN'::DOUBLE), 6) AS avg_aesthetic_score,
           CASE WHEN c_custkey % 2 = 0 THEN 'run-1' ELSE 'run-2' END AS run_id
         FROM customer LEFT JOIN m ON user_id = c_custkey""",
+    "resumed_chunks": """WITH c AS (SELECT c_custkey, ((row_number() OVER (ORDER BY c_custkey) - 1) // ((SELECT count(*) FROM customer) // 5 + 1))::INT AS chunk_no FROM customer),
+        m AS (SELECT user_id, avg(value) AS m, count(*) AS n FROM events GROUP BY 1)
+        SELECT c_custkey AS video_id, chunk_no, round(coalesce(m, 'NaN'::DOUBLE), 6) AS score, coalesce(n, 0)::BIGINT AS n_scored
+        FROM c LEFT JOIN m ON user_id = c_custkey""",
+    "score_stream_seen": "SELECT event_id AS video_id, round(value * 2 + 1, 6) AS score, 1::BIGINT AS times FROM events",
+    "stream_dedupe_batches": "SELECT event_id AS video_id FROM events",
     "score_stream": "SELECT event_id AS video_id, round(value * 2 + 1, 6) AS score FROM events",
     "stream_throughput": "SELECT epoch_us(date_trunc('day', ts)) AS window_us, count(*) AS items FROM events GROUP BY 1",
     "stream_running_mean": "SELECT user_id AS clip_id, count(*) AS n, round(avg(value), 6) AS mean_score FROM events GROUP BY 1",
     "stream_dedupe": "SELECT DISTINCT user_id AS video_id FROM events",
 }
 ORACLES["stored_crop"] = ORACLES["apply_crop"]
+for _name in ("stream_mean_state", "stream_mean_windows"):
+    ORACLES[_name] = "SELECT user_id AS clip_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"
+ORACLES["stream_throughput_batches"] = ORACLES["stream_throughput"]

@@ -12,9 +12,12 @@ import stand_ins as s
 from reelmeter.functions import text, vectors, video
 from reelmeter.functions.frames import black_region, crop_boundary, to_gray
 from reelmeter.operators import cropping, metrics, motion, ordering, runlog, sampling, scoring
+from reelmeter.plans import chunks
+from reelmeter.plans.runs import Model
 from reelmeter.session import scratch_path, task_count
 from reelmeter.sources import files, frame_store, results
 from reelmeter.streaming import runs as streams
+from reelmeter.streaming.seen import SeenIds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -698,6 +701,27 @@ def resumed_run(spark, sf):
     return stored.select("video_id", r6("avg_aesthetic_score"), F.col("run_id"))
 
 
+@query
+def resumed_chunks(spark, sf):
+    """A run in five chunks, ended after two and taken up again; frames scored per clip are counted."""
+    root = scratch_path(spark, "resumed-chunks")
+    clips = s.event_clips(spark, sf).withColumnRenamed("clip_id", "video_id")
+    scores = s.event_frames(spark, sf).select("clip_id", "sample_no", "score")
+    model = Model(lambda: None, lambda _, batch: [{"score": x} for x in batch["score"]], 4096)
+
+    def frames(left):
+        return scores.join(left.select(F.col("video_id").alias("clip_id")), "clip_id", "left_semi")
+
+    size = clips.count() // 5 + 1
+    for most in (2, None):
+        chunks.run_chunked(spark, "aesthetics", clips, root, "1", model, frames, size, most)
+    found = chunks.committed_results(spark, root, "aesthetics", "1")
+    counts = results.read_scored(spark, f"{root}/scored", "aesthetics").groupBy("clip_id").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("video_id", "chunk_no").agg(F.max(r6("avg_aesthetic_score")).alias("score")).join(
+        counts, F.col("video_id") == F.col("clip_id"), "left"
+    ).select("video_id", "chunk_no", "score", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_scored"))
+
+
 # ---- streams ---------------------------------------------------------------
 
 
@@ -743,3 +767,62 @@ def stream_dedupe(spark, sf):
     stream = _event_stream(spark, sf).select(F.col("user_id").alias("video_id"), "ts")
     streams.stream_dedupe(stream, sink, checkpoint, "ts", "40 days")
     return spark.read.parquet(sink).select("video_id")
+
+
+def _part_stream(spark, sf, repeats=False):
+    """Events in six micro-batches."""
+    schema = s.events(spark, sf).schema
+    return streams.file_stream(spark, s.event_parts(spark, sf, repeats=repeats), schema, files_per_batch=1)
+
+
+@query
+def score_stream_seen(spark, sf):
+    """Six batches in which ids come back; each is scored once, by an index of seen ids."""
+    sink, checkpoint = streams.new_run(spark, "score-stream-seen")
+    stream = _part_stream(spark, sf, repeats=True).withColumn("video_id", F.col("event_id"))
+
+    def score(batch):
+        return batch.select("video_id", (F.col("value") * 2 + 1).alias("score"))
+
+    index = SeenIds(f"{sink}-seen", buckets=16, bits=1 << 17, merge_every=4)
+    streams.score_stream_indexed(stream, score, sink, checkpoint, index)
+    stored = spark.read.parquet(sink)
+    return stored.groupBy("video_id").agg(F.max(r6("score")).alias("score"), F.count(F.lit(1)).alias("times"))
+
+
+def _totals(means):
+    """Means as sums: they are whole hundredths, so that rounding does not depend on the order of addition."""
+    return means.select("clip_id", "n", F.round(F.col("mean_score") * F.col("n"), 4).alias("total"))
+
+
+@query
+def stream_mean_state(spark, sf):
+    sink, checkpoint = streams.new_run(spark, "stream-mean-state")
+    stream = _part_stream(spark, sf).select(F.col("user_id").alias("clip_id"), F.col("value").alias("score"))
+    streams.stream_mean_state(stream, sink, checkpoint)
+    return _totals(streams.current_means(spark, sink))
+
+
+@query
+def stream_mean_windows(spark, sf):
+    """The same with state that leaves by the watermark; files come in any order, so it is a wide one."""
+    sink, checkpoint = streams.new_run(spark, "stream-mean-windows")
+    stream = _part_stream(spark, sf).select(F.col("user_id").alias("clip_id"), F.col("value").alias("score"), "ts")
+    streams.stream_mean_state(stream, sink, checkpoint, time="ts", width="7 days", delay="40 days")
+    return _totals(streams.current_means(spark, sink))
+
+
+@query
+def stream_throughput_batches(spark, sf):
+    sink, checkpoint = streams.new_run(spark, "stream-throughput-batches")
+    streams.stream_throughput(_part_stream(spark, sf), sink, checkpoint, "ts", "1 day", "40 days")
+    return streams.latest_windows(spark, sink).select(F.unix_micros("window_start").alias("window_us"), "items")
+
+
+@query
+def stream_dedupe_batches(spark, sf):
+    """Ids that come back in later batches."""
+    sink, checkpoint = streams.new_run(spark, "stream-dedupe-batches")
+    stream = _part_stream(spark, sf, repeats=True).select(F.col("event_id").alias("video_id"), "ts")
+    streams.stream_dedupe(stream, sink, checkpoint, "ts", "40 days")
+    return spark.read.parquet(sink).select("video_id")

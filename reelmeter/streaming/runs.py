@@ -18,6 +18,7 @@ from reelmeter.plans.registry import Metric
 from reelmeter.plans.runs import Model, run_metric
 from reelmeter.session import scratch_path
 from reelmeter.sources.files import clip_columns
+from reelmeter.streaming.seen import SeenIds
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -87,6 +88,31 @@ def score_stream(
     _run(stream, handle, checkpoint)
 
 
+def score_stream_indexed(
+    stream: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    sink: str,
+    checkpoint: str,
+    seen: SeenIds,
+    key: str = "video_id",
+) -> None:
+    """``score_stream`` with an index of seen ids: what a batch reads does not grow with the batches before it.
+
+    Neither the sink nor its ids are read: filters of a fixed size tell new ids apart, and only buckets of
+    the index in which some id may be known are opened. Rows with a null id are scored in every batch.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        fresh = seen.unseen(batch.dropDuplicates([key]), key, batch_id)
+        path = _batch_path(sink, batch_id)
+        score(fresh).write.mode("overwrite").parquet(path)
+        # what was stored is what has been seen
+        stored = batch.sparkSession.read.schema(batch.select(key).schema).parquet(path)
+        seen.add(stored, key, batch_id)
+
+    _run(stream, handle, checkpoint)
+
+
 def stream_metric(
     clips: DataFrame,
     metric: str | Metric,
@@ -157,6 +183,48 @@ def running_means(spark: SparkSession, sink: str) -> DataFrame:
     )
 
 
+def stream_mean_state(
+    stream: DataFrame,
+    sink: str,
+    checkpoint: str,
+    value: str = "score",
+    time: str | None = None,
+    width: str = "1 day",
+    delay: str = "1 day",
+) -> None:
+    """Running mean per clip with its sums in the state store; a batch stores the clips it changed, with their totals.
+
+    A batch costs what it brings: neither earlier batches nor the sink are read. Without ``time``, state is a row per
+    clip, for ever. With it, sums are kept per clip and window of ``width`` and leave the state when the
+    watermark (``delay``) has passed the window; what was stored of it stays, so means stay those of all
+    scores that arrived in time. Null scores count for nothing, a null clip is a clip.
+    """
+    keys = ["clip_id"]
+    if time is not None:
+        stream = stream.withWatermark(time, delay).withColumn("window", F.window(time, width))
+        keys.append("window")
+    totals = stream.groupBy(*keys).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    if time is not None:
+        totals = totals.select("clip_id", F.col("window.start").alias("window_start"), "total", "n")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
+
+    _run(totals, handle, checkpoint, mode="update")
+
+
+def current_means(spark: SparkSession, sink: str) -> DataFrame:
+    """Means by what ``stream_mean_state`` stored last of every clip, or of every window of a clip."""
+    stored = spark.read.parquet(sink)
+    keys = [c for c in ("clip_id", "window_start") if c in stored.columns]
+    last = stored.groupBy(*keys).agg(F.max_by(F.struct("total", "n"), "batch_id").alias("last"))
+    if len(keys) == 1:
+        sums = last.select("clip_id", "last.total", "last.n")
+    else:
+        sums = last.groupBy("clip_id").agg(F.sum("last.total").alias("total"), F.sum("last.n").alias("n"))
+    return sums.select("clip_id", "n", F.try_divide("total", "n").alias("mean_score"))
+
+
 def stream_dedupe(
     stream: DataFrame, sink: str, checkpoint: str, time: str, delay: str, key: str = "video_id"
 ) -> None:

@@ -170,6 +170,24 @@ def tracks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def event_parts(spark: SparkSession, sf: str, parts: int = 6, repeats: bool = False) -> str:
+    """All events in files of equal spans of time, to be read as a stream of that many batches.
+
+    With ``repeats``, every seventh event arrives once more, two parts later.
+    """
+    rows = events(spark, sf)
+    ends = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    low, high = (F.unix_micros(F.lit(t)) for t in ends)
+    part = F.floor((F.unix_micros("ts") - low) * parts / (high - low + 1)).cast("int")
+    dealt = rows.withColumn("part", part)
+    if repeats:
+        again = dealt.where(F.pmod("event_id", F.lit(7)) == 0)
+        dealt = dealt.unionByName(again.withColumn("part", F.pmod(F.col("part") + 2, F.lit(parts))))
+    path = scratch_path(spark, "event-parts")
+    dealt.repartition(parts, "part").write.partitionBy("part").parquet(path)
+    return f"{path}/part=*"
+
+
 def vote_answers(spark: SparkSession, sf: str) -> DataFrame:
     """A clip's first 26 events answer its questions; a click is a yes.
 
