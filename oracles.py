@@ -121,6 +121,8 @@ ORACLES: dict[str, str] = {
     "global_index": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders",
     "range_slice": """SELECT * FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders)
         WHERE idx >= 500 AND idx < 10000""",
+    "range_slice_selected": """SELECT * FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS idx
+        FROM orders) WHERE idx >= 300""",
     "seeded_shuffle": """SELECT o_orderkey, md5('2025:' || o_orderkey::VARCHAR) AS shuffle_key,
         row_number() OVER (ORDER BY md5('2025:' || o_orderkey::VARCHAR), o_orderkey) - 1 AS position FROM orders""",
     "skip_processed": """SELECT o_orderkey AS video_id, o_totalprice FROM orders

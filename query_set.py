@@ -94,6 +94,13 @@ def range_slice(spark, sf):
     return ordering.range_slice(orders, ["o_orderkey"], 500, 10_000)
 
 
+@query
+def range_slice_selected(spark, sf):
+    """A slice by price and key, its ends found by counting."""
+    orders = s.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return ordering.range_slice(orders, ["o_totalprice", "o_orderkey"], 300)
+
+
 @query
 def seeded_shuffle(spark, sf):
     shuffled = ordering.seeded_shuffle(s.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")

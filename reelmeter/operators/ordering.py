@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelmeter.session import at_most, stored
 
@@ -24,6 +25,9 @@ MAX_BROADCAST_BYTES = 128 << 20
 # Copies of a per-clip row in the salted join used above that size.
 SALTS = 64
 
+# Keys that part the rows in one round of ``key_at``, and keys that are looked at in the end.
+SPLITS, LEAF = 64, 10_000
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row offset in the low 33 bits
 
 
@@ -129,15 +133,88 @@ def dense_index(
     return prefix_sums(df, group, order, {name: F.lit(1).cast("bigint")}, max_group_rows)
 
 
+def _literal(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(None if value is None else value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.lit(value).cast(kind)
+
+
+class _Keys:
+    """Rows of ``df`` between order keys, as filters that reach the scan."""
+
+    def __init__(self, df: DataFrame, order: Sequence[str]):
+        self.df, self.order = df, list(order)
+        self.kinds = [df.schema[c].dataType for c in order]
+        self.key = F.struct(*self.order)
+
+    def literal(self, key: Row) -> Column:
+        return F.struct(*[_literal(v, k).alias(c) for v, k, c in zip(key, self.kinds, self.order)])
+
+    def between(self, low: Row | None, high: Row | None) -> Column:
+        """``low <= key < high``; nulls come first. A bound on the first column alone can be pushed into the scan."""
+        first, simple = F.col(self.order[0]), not isinstance(self.kinds[0], T.StructType)
+        kept = F.lit(True)
+        if low is not None:
+            kept = kept & (self.key >= self.literal(low))
+            if simple and low[0] is not None:
+                kept = kept & (first >= _literal(low[0], self.kinds[0]))
+        if high is not None:
+            kept = kept & (self.key < self.literal(high))
+            if simple and high[0] is not None:
+                # nulls are before every bound
+                kept = kept & (first.isNull() | (first <= _literal(high[0], self.kinds[0])))
+        return kept
+
+    def rows(self, low: Row | None, high: Row | None) -> DataFrame:
+        return self.df.select(*self.order).where(self.between(low, high))
+
+
+def key_at(df: DataFrame, order: Sequence[str], position: int) -> Row | None:
+    """The order key of the row at ``position`` (0-based); None when there are not so many rows.
+
+    Rounds of counting instead of a sort: some keys of the rows in question, picked by hash, part them, each task
+    counts the rows before every one, and the part that holds the position is parted again. A round is one
+    pass over the order columns of what is left, without a shuffle of rows; each leaves about a
+    ``SPLITS``-th, until ``LEAF`` keys can be looked at. ``order`` must be unique.
+    """
+    keys = _Keys(df, order)
+    low = high = None
+    left, size = position, None
+    while size is None or size > LEAF:
+        rows = keys.rows(low, high)
+        picked = rows.orderBy(F.xxhash64(*keys.order), *keys.order).limit(SPLITS)
+        marks = picked.distinct().orderBy(*keys.order).collect()
+        before = [F.count_if(keys.key < keys.literal(m)).alias(f"n{i}") for i, m in enumerate(marks)]
+        *counts, total = rows.agg(*before, F.count(F.lit(1)).alias("total")).first()
+        if left >= total:
+            return None
+        starts = [0, *counts, total]
+        i = max(i for i, n in enumerate(starts[:-1]) if n <= left)
+        new = (marks[i - 1] if i else low, marks[i] if i < len(marks) else high)
+        if new == (low, high):
+            raise ValueError(f"{', '.join(order)} is not unique")
+        (low, high), size, left = new, starts[i + 1] - starts[i], left - starts[i]
+    found = keys.rows(low, high).orderBy(*keys.order).limit(left + 1).collect()  # LEAF keys at most
+    return found[left]
+
+
 def range_slice(
     df: DataFrame, order: Sequence[str], start: int | None = None, end: int | None = None
 ) -> DataFrame:
-    """Rows at positions ``start <= idx < end``; both ends are clamped to the table."""
-    idx = F.col("idx")
-    keep = idx >= max(0, start or 0)
-    if end is not None:
-        keep = keep & (idx < max(0, end))
-    return global_index(df, order).where(keep)
+    """Rows at positions ``start <= idx < end``; both ends are clamped to the table.
+
+    The keys at both ends are found by counting (``key_at``), so the rest of the table is neither
+    sorted nor written; only the slice itself is, to number it.
+    """
+    start = max(0, start or 0)
+    if end is not None and max(0, end) <= start:
+        return global_index(df.where(F.lit(False)), order)
+    low = key_at(df, order, start) if start else None
+    if start and low is None:
+        return global_index(df.where(F.lit(False)), order)
+    high = key_at(df, order, end) if end is not None else None
+    inside = global_index(df.where(_Keys(df, order).between(low, high)), order)
+    return inside.withColumn("idx", F.col("idx") + F.lit(start))
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 2025) -> DataFrame:
