@@ -43,6 +43,10 @@ GRAY = """
            FROM counts, unnest(range(0, least(5, total))) AS t(i)),
  sampled AS (SELECT lines.* FROM lines JOIN picks USING (clip_id, frame_no))
 """
+COLOURS = """
+ px AS (SELECT vec_id, i, list_transform([1000, 10000, 100000], lambda k: ((floor(embedding[i + 1]::DOUBLE * k)::INT % 256) + 256) % 256) AS c
+        FROM embeddings, unnest(range(0, 64)) AS u(i))
+"""
 SMART_PLAN = """
  plan AS (SELECT clip_id, trunc(median(smart_top))::INT AS start_y, trunc(median(smart_bottom))::INT AS end_y
           FROM sampled GROUP BY 1)
@@ -79,7 +83,7 @@ def _watermark() -> str:
     from query_set import LAYERS
 
     (w1, b1), (w2, b2) = LAYERS
-    x = ["embedding[1]::DOUBLE", "embedding[2]::DOUBLE"]
+    x = [f"embedding[{j + 1}]::DOUBLE" for j in range(64)]
     hidden = ", ".join(f"greatest(0.0::DOUBLE, {_dot(w, b, x)}) AS h{i}" for i, (w, b) in enumerate(zip(w1, b1)))
     out = ", ".join(f"{_dot(w, b, ['h0', 'h1', 'h2'])} AS o{i}" for i, (w, b) in enumerate(zip(w2, b2)))
     return f"""
@@ -129,7 +133,7 @@ ORACLES: dict[str, str] = {
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
     "limit_run": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100",
     "merge_results": """SELECT o_orderkey AS video_id, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 1 END AS score
-        FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+        FROM orders""",
     "dense_index": _DENSE,
     "dense_index_segmented": _DENSE,
     "video_info": f"""WITH {PART_META} SELECT clip_id, round(d, 6) AS duration_seconds, total_frames, fps, width, height,
@@ -186,11 +190,8 @@ ORACLES: dict[str, str] = {
         r AS (SELECT clip_id, path, row_number() OVER (PARTITION BY clip_id ORDER BY path) - 1 AS frame_no,
                      greatest(count(*) OVER (PARTITION BY clip_id) // 24, 1) AS step FROM p WHERE doc_id % 4 <> 2)
         SELECT clip_id, frame_no // step AS sample_no, frame_no, path FROM r WHERE frame_no % step = 0 AND frame_no // step < 24""",
-    "to_gray": """WITH c AS (SELECT vec_id, list_transform(embedding[1:48], lambda x: ((floor(x::DOUBLE * 1000)::INT % 256) + 256) % 256) AS c
-          FROM embeddings),
-        p AS (SELECT vec_id, i, (4899 * c[3 * i + 3] + 9617 * c[3 * i + 2] + 1868 * c[3 * i + 1] + 8192) >> 14 AS y
-              FROM c, unnest(range(0, 16)) AS u(i))
-        SELECT vec_id, string_agg(printf('%02X', y), '' ORDER BY i) AS gray FROM p GROUP BY 1""",
+    "to_gray": f"""WITH {COLOURS}
+        SELECT vec_id, string_agg(printf('%02X', (4899 * c[3] + 9617 * c[2] + 1868 * c[1] + 8192) >> 14), '' ORDER BY i) AS gray FROM px GROUP BY 1""",
     "black_region": f"WITH {GRAY} SELECT clip_id, frame_no, black_top AS \"top\", black_bottom AS bottom FROM lines",
     "crop_boundary": f"WITH {GRAY} SELECT clip_id, frame_no, smart_top AS \"top\", smart_bottom AS bottom FROM lines",
     "frame_crop": f"""WITH {GRAY} SELECT clip_id, frame_no, CASE WHEN black_top THEN 2 END::INT AS top_crop,
@@ -252,12 +253,10 @@ ORACLES: dict[str, str] = {
     "aesthetic_head": """WITH e AS (SELECT vec_id, i, embedding[i + 1]::DOUBLE AS x FROM embeddings, unnest(range(0, 64)) AS t(i))
         SELECT vec_id, round(sum(x * i / 64.0::DOUBLE) / sqrt(sum(x * x)) + 5, 6) AS score FROM e GROUP BY 1""",
     "watermark_head": f"WITH {_watermark()} SELECT vec_id, round(score, 6) AS score FROM wm",
-    "argmax_label": """SELECT vec_id, CASE WHEN embedding[1] >= embedding[2] AND embedding[1] >= embedding[3] THEN 'normal'
-        WHEN embedding[2] >= embedding[3] THEN 'nsfw' ELSE 'other' END AS label FROM embeddings""",
-    "image_normalise": """WITH p AS (SELECT vec_id, i::INT AS pos, ((floor(embedding[i + 1]::DOUBLE * 1000)::INT % 256) + 256) % 256 AS b
-          FROM embeddings, unnest(range(0, 12)) AS t(i))
-        SELECT vec_id, pos, round(((b / 255.0::DOUBLE - [0.485, 0.456, 0.406][pos % 3 + 1]::DOUBLE)
-          / [0.229, 0.224, 0.225][pos % 3 + 1]::DOUBLE)::FLOAT::DOUBLE, 4) AS x FROM p""",
+    "argmax_label": "SELECT vec_id, 'label' || (list_position(embedding, list_max(embedding)) - 1) AS label FROM embeddings",
+    "image_normalise": f"""WITH {COLOURS}
+        SELECT vec_id, (3 * i + k - 1)::INT AS pos, round(((c[k] / 255.0::DOUBLE - [0.485, 0.456, 0.406][k]::DOUBLE)
+          / [0.229, 0.224, 0.225][k]::DOUBLE)::FLOAT::DOUBLE, 4) AS x FROM px, unnest(range(1, 4)) AS t(k)""",
     "score_batches": """SELECT doc_id, CASE WHEN lang <> 'fr' THEN length(text)::DOUBLE END AS score,
         CASE WHEN lang = 'fr' THEN 'ValueError: language not supported' END AS error FROM documents""",
     "error_rows": "SELECT doc_id, 'ValueError: refused' AS error FROM labels WHERE toxic = 1",
@@ -270,11 +269,11 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey AS clip_id, (coalesce(sample_no, 0) // 16)::INT AS part_no,
           round(coalesce(m, 'NaN'::DOUBLE), 6) AS avg_aesthetic_score, sample_no::INT AS frame, score
         FROM customer LEFT JOIN m ON m.clip_id = c_custkey LEFT JOIN ef ON ef.clip_id = c_custkey""",
-    "nsfw_share": """WITH m AS (SELECT source, avg((toxic = 1)::INT) AS m FROM documents JOIN labels USING (doc_id) GROUP BY 1)
+    "nsfw_share": """WITH m AS (SELECT source, avg(coalesce(toxic = 1, false)::INT) AS m FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1)
         SELECT source AS clip_id, round(coalesce(m, 'NaN'::DOUBLE), 6) AS avg_nsfw_score
         FROM (SELECT DISTINCT source FROM documents) LEFT JOIN m USING (source)""",
-    "nsfw": """WITH l AS (SELECT source, doc_id::VARCHAR || '.jpg' AS file, CASE WHEN toxic = 1 THEN 'nsfw' ELSE 'normal' END AS label
-            FROM documents JOIN labels USING (doc_id)),
+    "nsfw": """WITH l AS (SELECT source, doc_id::VARCHAR || '.jpg' AS file, CASE toxic WHEN 1 THEN 'nsfw' WHEN 0 THEN 'normal' ELSE 'unknown' END AS label
+            FROM documents LEFT JOIN labels USING (doc_id)),
         m AS (SELECT source, avg((label = 'nsfw')::INT) AS m FROM l GROUP BY 1)
         SELECT source AS clip_id, round(coalesce(m, 'NaN'::DOUBLE), 6) AS avg_nsfw_score, file, label
         FROM (SELECT DISTINCT source FROM documents) LEFT JOIN m USING (source) LEFT JOIN l USING (source)""",
@@ -316,7 +315,8 @@ ORACLES: dict[str, str] = {
         SELECT clip_id, frame_no, pos, answer FROM r
         UNION ALL SELECT c_custkey, NULL, NULL, NULL FROM customer WHERE c_custkey NOT IN (SELECT clip_id FROM r)""",
     "vision_reward": f"""WITH q AS (SELECT * FROM (VALUES {QUESTION_ROWS}) AS q(q_idx, question, weight)),
-        a AS (SELECT user_id AS clip_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) + 2 AS q_idx FROM events),
+        n AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events),
+        a AS (SELECT user_id || '-' || (k // 26) AS clip_id, event_type, k % 26 + 3 AS q_idx FROM n),
         v AS (SELECT clip_id, q_idx, weight, CASE WHEN event_type = 'click' THEN 1 ELSE -1 END AS sign FROM a JOIN q USING (q_idx))
         SELECT clip_id, round(avg(sign * weight), 9) AS avg_vision_reward, string_agg(sign::VARCHAR, ',' ORDER BY q_idx) AS signs
         FROM v GROUP BY 1""",

@@ -6,7 +6,7 @@ tables, so work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmeter.functions.frames import to_gray
@@ -125,6 +125,17 @@ def gray_frames(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def colours(embedding: Column) -> Column:
+    """A pixel of three bytes for every vector element: its thousandths, ten- and hundred-thousandths."""
+    bytes_of = F.transform(
+        embedding,
+        lambda x: F.array(
+            *[F.pmod(F.floor(x.cast("double") * k), F.lit(256)).cast("int") for k in (1_000, 10_000, 100_000)]
+        ),
+    )
+    return F.flatten(bytes_of)
+
+
 def gray_store(spark: SparkSession, sf: str) -> str:
     """The gray frames as a frame store, newly written."""
     path = scratch_path(spark, "gray-store")
@@ -189,34 +200,24 @@ def event_parts(spark: SparkSession, sf: str, parts: int = 6, repeats: bool = Fa
 
 
 def vote_answers(spark: SparkSession, sf: str) -> DataFrame:
-    """A clip's first 26 events answer its questions; a click is a yes.
-
-    The rank filter reaches the map side (a bounded number of rows per clip
-    and task), so a clip with many events stays cheap.
-    """
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return (
-        events(spark, sf)
-        .select("user_id", "ts", "event_id", "event_type")
-        .withColumn("rank", F.row_number().over(w))
-        .where("rank <= 26")
-        .select(
-            F.col("user_id").alias("clip_id"),
-            (F.col("rank") + 2).cast("int").alias("q_idx"),
-            F.when(F.col("event_type") == "click", "yes").otherwise(F.col("event_type")).alias("answer"),
-        )
+    """Every 26 events of a user, in order of time, are a clip that answers its questions; a click is a yes."""
+    rows = event_frames(spark, sf)
+    return rows.select(
+        F.concat_ws("-", "clip_id", F.floor(F.col("sample_no") / 26)).alias("clip_id"),
+        (F.pmod("sample_no", F.lit(26)) + 3).cast("int").alias("q_idx"),
+        F.when(F.col("label") == "click", "yes").otherwise(F.col("label")).alias("answer"),
     )
 
 
 def safety_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as frames of their source, labelled by the toxic flag."""
+    """Documents as frames of their source, labelled by the toxic flag; without a label they are "unknown"."""
     docs = table(spark, sf, "documents").select("doc_id", "source")
     flags = table(spark, sf, "labels").select("doc_id", "toxic")
-    return docs.join(flags, "doc_id").select(
+    return docs.join(flags, "doc_id", "left").select(
         F.col("source").alias("clip_id"),
         F.col("doc_id").alias("sample_no"),
         F.format_string("%d.jpg", F.col("doc_id")).alias("file"),
-        F.when(F.col("toxic") == 1, "nsfw").otherwise("normal").alias("label"),
+        F.when(F.col("toxic") == 1, "nsfw").when(F.col("toxic") == 0, "normal").otherwise("unknown").alias("label"),
     )
 
 
