@@ -28,3 +28,11 @@ def discard(spark: SparkSession, *paths: str) -> None:
 
 def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores behind it until no column of ``taken`` is called so (case does not count)."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name

@@ -12,10 +12,12 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-#: Words that a task remembers; when there are more it starts anew.
-REMEMBERED = 1_200_000
+#: Bytes of words and ids that a worker process remembers, in two halves; what was used lately stays.
+REMEMBERED = 16 << 20
+#: What a remembered word takes besides its text and ids.
+_ENTRY = 200
 #: Bytes of text that are encoded at a time.
-AT_ONCE = 8 << 20
+AT_ONCE = 2 << 20
 END = 1
 DEFAULT = "word_bpe_49k.json"
 
@@ -44,6 +46,8 @@ class WordTokens:
         self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.raw = [i.to_bytes(2, "little") for i in range(size)]
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = 0
 
     def _encode(self, part: str) -> bytes:
         if m := _WORD.fullmatch(part):  # nothing to normalise, and the split is known
@@ -57,9 +61,14 @@ class WordTokens:
     def _of_part(self, part: str) -> bytes:
         ids = self.known.get(part)
         if ids is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.known[part] = self._encode(part)
+            ids = self.before.get(part)
+            if ids is None:
+                ids = self._encode(part)
+            if (size := len(part) + len(ids) + _ENTRY) <= REMEMBERED >> 4:  # a very long part is not worth the room
+                self.held += size
+                if self.held > REMEMBERED >> 1:
+                    self.before, self.known, self.held = self.known, {}, size
+                self.known[part] = ids
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

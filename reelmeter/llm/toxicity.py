@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmeter.llm.common import kept_on_disk
+from reelmeter.llm.common import discard, free_name, kept_on_disk
 
 # Letters that look alike, signs that stand for letters.
 LOOK_ALIKES = {
@@ -42,6 +42,8 @@ TRAINING_ROWS = 20_000
 ENTRIES = 5_000
 PREFIXES = range(3, 11)
 LONGEST = 30
+#: Entries that a task counts before it hands them on.
+COUNTED = 100_000
 
 
 class _Fold(dict):
@@ -171,7 +173,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, toxic in zip(batch["text"], batch["toxic"].to_pylist()):
             (p if toxic else n).update(entries_of(fold(text.as_py())))
-            if len(p) + len(n) > 1_000_000:
+            if len(p) + len(n) > COUNTED:
                 yield out()
                 p, n = Counter(), Counter()
     if p or n:
@@ -214,13 +216,14 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, entries
     chosen = usable.where(F.pmod(F.xxhash64(F.lit("chosen"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     # about ``rows`` rows of two numbers
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    training, _ = kept_on_disk(
+    training, path = kept_on_disk(
         found.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")),
         "toxicity",
     )
     totals = dict(training.groupBy("toxic").count().collect())
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
+        discard(docs.sparkSession, path)
         return Lexicon({}, toxic, clean)
     counts = training.select("text", "toxic").mapInArrow(_counted, "entry string, p long, n long")
     counts = counts.groupBy("entry").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
@@ -232,20 +235,21 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, entries
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     sample = training.select("text", "toxic").mapInArrow(lambda b: _featured(b, shared), "x array<double>, y int").toPandas()
     lexicon.curve = fit_curve(np.stack(sample["x"].to_list()), sample["y"].to_numpy(float))
+    discard(docs.sparkSession, path)
     return lexicon
 
 
-def _scored(batches: Iterator[pa.RecordBatch], lexicon) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], lexicon, name: str) -> Iterator[pa.RecordBatch]:
     matcher = lexicon.value.matcher()
     for batch in batches:
         scores = pa.array([matcher.score(t.as_py()) for t in batch["text"]], pa.float64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "__score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])
 
 
-def with_scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` and ``__score`` of its ``text``; null and empty texts get the score of no match. No shuffle."""
+def with_scores(docs: DataFrame, lexicon: Lexicon, name: str = "__score") -> DataFrame:
+    """``docs`` and the score of its ``text`` as ``name``; null and empty texts get the score of no match. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    return docs.mapInArrow(lambda b: _scored(b, shared), docs.withColumn("__score", F.lit(0.0)).schema)
+    return docs.mapInArrow(lambda b: _scored(b, shared, name), docs.withColumn(name, F.lit(0.0)).schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -265,6 +269,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with the columns of ``docs``."""
-    scored = with_scores(docs, learn(docs, labels))
-    return scored.where(F.col("__score") < threshold).drop("__score")
+    """The rows of ``docs`` that score below ``threshold``, with the columns of ``docs``, whatever their names.
+
+    Whole texts are scored, however long; rows with equal texts go or stay together.
+    """
+    name = free_name(docs.columns, "__score")
+    scored = with_scores(docs, learn(docs, labels), name)
+    return scored.where(F.col(name) < threshold).drop(name)
