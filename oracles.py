@@ -171,6 +171,16 @@ ORACLES: dict[str, str] = {
         SELECT smp.clip_id, smp.sample_no, smp.frame_no, score FROM smp
         JOIN ef ON ef.clip_id = smp.clip_id AND ef.sample_no = smp.frame_no"""),
     "sample_frames": _FETCHED.replace("smp.frame_no, score", "smp.frame_no::BIGINT AS frame_no, score"),
+    "sample_frames_fps": f"""WITH RECURSIVE {EVENT_META},
+        rates(fps, step) AS (VALUES (3, 1 / 3::DOUBLE), (10, 1 / 10::DOUBLE), (24, 1 / 24::DOUBLE), (30, 1 / 30::DOUBLE)),
+        top AS (SELECT max(total_frames / fps) AS m FROM em),
+        grid(rate, step, k, t) AS (SELECT fps, step, 0::BIGINT, 0.0::DOUBLE FROM rates
+          UNION ALL SELECT rate, step, k + 1, t + step FROM grid WHERE t < (SELECT m FROM top))
+        SELECT rate AS fps, clip_id, k AS sample_no, round_even(t * em.fps, 0)::BIGINT AS frame_no, round(t, 9) AS t_s
+        FROM em JOIN grid ON t < total_frames / em.fps WHERE round_even(t * em.fps, 0) < total_frames""",
+    "score_by_cost": "SELECT doc_id, length(text)::DOUBLE AS score, NULL::VARCHAR AS error FROM documents",
+    "cost_balance": """WITH s AS (SELECT count(*) AS n, sum(n_chars)::BIGINT AS c FROM documents)
+        SELECT 'even' AS kind, n AS rows, c AS cost, true AS balanced FROM s UNION ALL SELECT 'hot', n + 1, c + c // 2, true FROM s""",
     "keyframes": "SELECT user_id AS clip_id, event_id AS frame_no, true AS is_key FROM events WHERE event_type = 'view'",
     "stride": f"WITH {EVENT_FRAMES} SELECT clip_id, sample_no // 3 AS sample_no, score FROM ef WHERE sample_no % 3 = 0",
     "sample_linspace": f"""WITH {PART_META}, n AS (SELECT clip_id, total_frames AS total, least(5, total_frames) AS n FROM pm WHERE total_frames > 0)

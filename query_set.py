@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import stand_ins as s
 from reelmeter.functions import text, vectors, video
 from reelmeter.functions.frames import black_region, crop_boundary, to_gray
-from reelmeter.operators import cropping, metrics, motion, ordering, runlog, sampling, scoring
+from reelmeter.operators import balance, cropping, metrics, motion, ordering, runlog, sampling, scoring
 from reelmeter.plans import chunks
 from reelmeter.plans.runs import Model
 from reelmeter.session import scratch_path, task_count
@@ -214,6 +214,19 @@ def sample_frames(spark, sf):
     return sampling.sample_frames(frames, s.event_meta(spark, sf)).drop("t_s")
 
 
+@query
+def sample_frames_fps(spark, sf):
+    """Frames chosen row by row at rates whose steps do not add exactly."""
+    frames = s.event_frames(spark, sf).select("clip_id", F.col("sample_no").alias("frame_no"), "score")
+    found = [
+        sampling.sample_frames(frames, s.event_meta(spark, sf), desired_fps=fps).select(
+            F.lit(fps).alias("fps"), "clip_id", "sample_no", "frame_no", F.round("t_s", 9).alias("t_s")
+        )
+        for fps in (3, 10, 24, 30)
+    ]
+    return found[0].union(found[1]).union(found[2]).union(found[3])
+
+
 @query
 def keyframes(spark, sf):
     index = s.events(spark, sf).select(
@@ -493,6 +506,31 @@ def score_batches(spark, sf):
     return scored.select("doc_id", F.col("result.score").alias("score"), "error")
 
 
+@query
+def score_by_cost(spark, sf):
+    """Documents in batches of up to 64, in sixteen tasks of about equal length."""
+
+    def infer(model, batch):
+        return [{"score": float(len(t))} for t in batch["text"]]
+
+    docs = s.table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    scored = balance.score_by_cost(docs, "n_chars", 16, lambda: None, infer, "struct<score:double>", ["doc_id"], 64)
+    return scored.select("doc_id", F.col("result.score").alias("score"), "error")
+
+
+@query
+def cost_balance(spark, sf):
+    """Whether tasks of the same documents, and of them with one that is a third of all, are balanced."""
+    docs = s.table(spark, sf, "documents").select("doc_id", "n_chars")
+    third = docs.agg(F.lit(-1).cast("bigint").alias("doc_id"), F.floor(F.sum("n_chars") / 2).alias("n_chars"))
+    out = []
+    for kind, rows in (("even", docs), ("hot", docs.unionByName(third))):
+        found = balance.balance(balance.deal_by_cost(rows, "n_chars", 16, "doc_id"), "n_chars")
+        even = F.col("largest_task") <= F.greatest(1.5 * F.col("cost") / 16, F.col("largest_clip"))
+        out.append(found.select(F.lit(kind).alias("kind"), "rows", F.col("cost").cast("bigint").alias("cost"), even.alias("balanced")))
+    return out[0].union(out[1])
+
+
 @query
 def error_rows(spark, sf):
     """Failures of single-item batches, kept apart from results."""

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from reelmeter.functions.arithmetic import evaluated_once, whole
+from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.text import clock_label
 from reelmeter.functions.video import duration
 from reelmeter.operators.ordering import attach, dense_index
@@ -40,38 +40,61 @@ def explode_range(df: DataFrame, count: Column, name: str, spread: bool = False)
     )
 
 
+def _once(value: Column) -> Column:
+    """A value that is worked out once a row, although several conditions look at it."""
+    return F.explode(F.array(value))
+
+
 def _step_is_exact(step: float) -> bool:
     """Whether adding ``step`` up to 2**30 times never rounds."""
     return step.as_integer_ratio()[0].bit_length() <= 20
 
 
+@cache
+def sum_intervals(step: float, most: int = 1 << 40) -> tuple[tuple[int, float, float], ...]:
+    """(first k, sum at it, increment): how sums of ``step``, added one by one in doubles, grow up to ``most`` times.
+
+    Between two powers of two all doubles are the same distance apart, so an addition there always adds
+    the same: the step rounded to that distance. Additions that reach the next power of two are
+    made one by one, as is one whose rounding falls exactly between two doubles and so goes to the even one;
+    from an even sum, that adds the same every time. A hundred intervals or so describe any number of additions.
+    """
+    found, k, t = [], 0, 0.0
+    while k < most:
+        after = t + step
+        if not math.isfinite(after) or after == t:  # the step no longer counts
+            found.append((k, t, 0.0))
+            break
+        grown, ulp = after - t, math.ulp(after)
+        level = math.frexp(t)[1] == math.frexp(after)[1] and t > 0
+        to_even = math.fmod(step, ulp) * 2 == ulp and t / ulp % 2 == 1
+        n = 1
+        if level and not to_even:  # additions that stay below the next power of two; t + n * grown is exact there
+            n = max(1, int((math.ldexp(1.0, math.frexp(after)[1]) - t) / grown) - 1)
+        # a sum that the interval before also gives needs none of its own, unless more sums follow from it
+        if n > 1 or not found or t != found[-1][1] + (k - found[-1][0]) * found[-1][2]:
+            found.append((k, t, grown))
+        k, t = k + n, t + n * grown
+    return tuple(found)
+
+
 def repeated_sum(k: Column, step: float) -> Column:
     """``step`` added ``k`` times in double arithmetic.
 
     Sample times grow by repeated addition, whose rounding decides ties of
     ``round(t * fps)``. For steps that add exactly this is a product; for
-    others each worker walks the sums once, a block at a time, and keeps only
-    the block starts.
+    others a choice among the few intervals in which sums grow evenly (``sum_intervals``).
     """
     if _step_is_exact(step):
         return k * F.lit(step)
-    starts = [0.0]
-
-    @F.pandas_udf(T.DoubleType())
-    def add_up(batches: pd.Series) -> pd.Series:
-        counts = batches.to_numpy()
-        out = np.empty(len(counts))
-        blocks = counts // _BLOCK
-        for b in np.unique(blocks):
-            while len(starts) <= b:
-                last = np.cumsum(np.concatenate(([starts[-1]], np.full(_BLOCK, step))))
-                starts.append(last[-1])
-            sums = np.cumsum(np.concatenate(([starts[b]], np.full(_BLOCK - 1, step))))
-            here = blocks == b
-            out[here] = sums[counts[here] - b * _BLOCK]
-        return pd.Series(out)
+    def chosen(intervals) -> Column:
+        if len(intervals) == 1:
+            first, start, grown = intervals[0]
+            return F.lit(start) + (k - first) * F.lit(grown)
+        middle = len(intervals) // 2
+        return F.when(k < intervals[middle][0], chosen(intervals[:middle])).otherwise(chosen(intervals[middle:]))
 
-    return evaluated_once(add_up)(k)
+    return chosen(sum_intervals(step))
 
 
 def sample_times(
@@ -97,7 +120,7 @@ def sample_times(
     if discard_last is not None:
         inside = inside & (t <= F.col("_d") - F.lit(float(discard_last)))
     return (
-        grid.withColumn("t_s", repeated_sum(F.col("sample_no"), step))
+        grid.withColumn("t_s", _once(repeated_sum(F.col("sample_no"), step)))
         .where(inside)
         .withColumn("frame_no", F.rint(t * F.col("fps")).cast("int"))
         .where(F.col("frame_no") < F.col("total_frames"))
@@ -155,11 +178,9 @@ def sample_frames(
     Whether a frame is sampled, and as which sample, follows from its number
     and its clip's metadata: the few sample times that could round to it are
     tried in place. Metadata reaches the frames by ``attach`` (a broadcast up
-    to its size bound). Steps whose sums round need the general join.
+    to its size bound). Sample times that are rounded sums lie within a step of the product.
     """
     step = 1.0 / desired_fps if desired_fps and desired_fps > 0 else 1.0
-    if not _step_is_exact(step):
-        return fetch_frames(sample_uniform(meta, desired_fps, discard_last), frames)
     clips = meta.where("fps > 0").select(
         "clip_id",
         F.col("fps").cast("double").alias("_fps"),
@@ -168,11 +189,12 @@ def sample_frames(
     )
     joined = attach(frames, clips, "clip_id", F.col("frame_no"), store=False)
     no, spacing = F.col("frame_no").cast("double"), F.col("_fps") * step
-    low = F.greatest(F.lit(0), F.floor((no - 0.5) / spacing) - 1).cast("bigint")
-    high = (F.ceil((no + 0.5) / spacing) + 1).cast("bigint")
+    nearest = (no + 1) / spacing
+    drift = F.ceil(nearest * nearest * 2.3e-16)  # of a sum against the product, in steps
+    low = F.greatest(F.lit(0), F.floor((no - 0.5) / spacing) - drift - 1).cast("bigint")
+    high = (F.ceil((no + 0.5) / spacing) + drift + 1).cast("bigint")
 
-    def is_sample(k: Column) -> Column:
-        t = k * F.lit(step)
+    def is_sample(t: Column) -> Column:
         hit = (F.rint(t * F.col("_fps")) == no) & (t < F.col("_d"))
         if discard_last is not None:
             hit = hit & (t <= F.col("_d") - F.lit(float(discard_last)))
@@ -180,8 +202,9 @@ def sample_frames(
 
     return (
         joined.where(no < F.col("_total"))
-        .withColumn("sample_no", F.explode(F.filter(F.sequence(low, high), is_sample)))
-        .withColumn("t_s", F.col("sample_no") * F.lit(step))
+        .withColumn("sample_no", F.explode(F.sequence(low, high)))
+        .withColumn("t_s", _once(repeated_sum(F.col("sample_no"), step)))
+        .where(is_sample(F.col("t_s")))
         .drop("_fps", "_total", "_d")
     )
 

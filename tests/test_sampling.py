@@ -219,3 +219,40 @@ def test_stride(spark):
     assert [(r.sample_no, r.x) for r in got] == [(0, 0), (1, 4), (2, 8)]
     with pytest.raises(ValueError):
         sampling.stride(frames, 0)
+
+
+@pytest.mark.parametrize("fps", [3, 10, 24, 30, 29.97, 7, 0.3, 0.7, 13, 1000])
+def test_sums_in_closed_form(fps):
+    """Bit by bit the loop, also far beyond where a product would differ."""
+    from reelmeter.operators.sampling import sum_intervals
+
+    step = 1.0 / fps
+    loop = np.concatenate([[0.0], np.cumsum(np.full(1_000_000, step))])
+    k = np.arange(len(loop))
+    found = np.zeros(len(loop))
+    for first, start, grown in sum_intervals(step):
+        found[k >= first] = start + (k[k >= first] - first) * grown
+    assert (found == loop).all() and len(sum_intervals(step)) < 200
+
+
+@pytest.mark.parametrize("step", [0.1, 3 * 2.0**-53, 5 * 2.0**-54 + 2.0**-3])
+def test_sums_with_ties(step):
+    """Steps whose additions round exactly between two doubles."""
+    from reelmeter.operators.sampling import sum_intervals
+
+    t, want = 0.0, []
+    for _ in range(20_000):
+        want.append(t)
+        t += step
+    intervals = sum_intervals(step)
+    found = [next(s + (k - f) * g for f, s, g in reversed(intervals) if f <= k) for k in range(20_000)]
+    assert found == want
+
+
+@pytest.mark.parametrize("fps", [3, 10, 24, 30])
+def test_frames_in_place_at_inexact_rates(spark, fps):
+    meta = spark.createDataFrame([("a", 25.0, 200), ("b", 2.0, 31), ("c", 0.5, 4), ("d", 0.0, 9)], "clip_id string, fps double, total_frames int")
+    frames = meta.select("clip_id", F.explode(F.sequence(F.lit(0), F.col("total_frames") - 1)).alias("frame_no"))
+    got = sampling.sample_frames(frames, meta, desired_fps=fps).select("clip_id", "sample_no", "frame_no", "t_s")
+    want = sampling.fetch_frames(sampling.sample_uniform(meta, fps), frames).select("clip_id", "sample_no", "frame_no", "t_s")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 90
