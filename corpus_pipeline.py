@@ -27,7 +27,7 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs).drop("n_removed")
+    return dedup_lines(docs, count=None)
 
 
 def similar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's result stored in the shared folder and read by the next."""
+    """All stages over ``documents``, each one's result stored in the shared folder and read by the next.
+
+    Null and empty texts pass the filters and are packed as an end id alone; texts of any length are judged whole. Rows
+    with a null doc_id stay rows of their own; of repeated rows one stays. Columns may have any names beside those of
+    ``documents``. Empty tables give an empty result; without labels the known insults alone decide.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")

@@ -12,20 +12,21 @@ patterns with that suffix, and those are compared directly.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelmeter.llm.common import kept_on_disk
+from reelmeter.llm.common import free_name, kept_on_disk
 
 #: ASCII other than letters and digits parts words; A-Z is lower-cased.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-#: Bytes of benchmark text whose tables are sent to every task at once.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text whose tables a task holds at once; tables take up to ninety times as much.
+BLOCK_BYTES = 2 << 20
 
 _RESULT = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -106,7 +107,7 @@ def _searched(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBa
     search = WuManber(tables.value)
     for batch in batches:
         hits, items = [], []
-        before = zip(batch["__hits"].to_pylist(), batch["__items"].to_pylist())
+        before = zip(batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist())
         for text, (old_hits, old_items) in zip(batch["text"], before):
             spans, ids = list(zip(*[iter(old_hits)] * 2)), set(old_items)
             for first, p in search.occurrences(words(text.as_py())):
@@ -114,20 +115,27 @@ def _searched(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBa
                 ids.update(search.patterns[p])
             hits.append(_merged(spans))
             items.append(sorted(ids))
-        columns = dict(zip(batch.schema.names, batch.columns))
-        columns["__hits"] = pa.array(hits, pa.list_(pa.int32()))
-        columns["__items"] = pa.array(items, pa.list_(pa.string()))
-        yield pa.RecordBatch.from_pydict(columns)
-
-
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``__hits`` (ends of merged word spans) and ``__items`` (ids found, sorted).
-
-    All columns of ``docs`` are kept, ``text`` must be one of them. Benchmark
+        found = [pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *found], batch.schema.names)
+
+
+def find_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 13,
+    block_bytes: int = BLOCK_BYTES,
+    then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """``docs`` and, as the last two columns, ``__hits`` (ends of merged word spans) and ``__items`` (ids found, sorted).
+
+    All columns of ``docs`` are kept, ``text`` must be one of them; where one is called as an added
+    column, that has underscores behind its name. Texts are searched whole, however long. Benchmark
     items are read in blocks of about ``block_bytes`` of text, so what a task
     holds stays bounded however large the benchmark is; the documents pass by
     once per block, without a shuffle. Null texts and texts without words have
-    no hits; items without words or with a null id are no patterns.
+    no hits; items without words or with a null id are no patterns. ``then`` goes on with the
+    batches of the last block, to rows of ``schema``, in the same Python process.
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
@@ -135,19 +143,22 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, bloc
     )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // block_bytes
-    found = docs.withColumns(
-        {"__hits": F.expr("cast(array() as array<int>)"), "__items": F.expr("cast(array() as array<string>)")}
-    )
+    hits, ids = (free_name(docs.columns, n) for n in ("__hits", "__items"))
+    found = docs.withColumns({hits: F.expr("cast(array() as array<int>)"), ids: F.expr("cast(array() as array<string>)")})
+    done, plain = then is None, found.schema
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         tables = spark.sparkContext.broadcast(windows(((r.item_id, r.text) for r in part), window))
         if not tables.value:
             continue
-        schema = found.schema
-        found = found.mapInArrow(lambda batches, t=tables: _searched(batches, t), schema)
-        if k + 1 < blocks:  # so that no task holds the tables of two blocks
-            found = kept_on_disk(found, "decontamination")[0]
-    return found
+        if k + 1 < blocks:
+            found = found.mapInArrow(lambda batches, t=tables: _searched(batches, t), plain)
+            found = kept_on_disk(found, "decontamination")[0]  # so that no task holds the tables of two blocks
+        elif then is None:
+            found = found.mapInArrow(lambda batches, t=tables: _searched(batches, t), plain)
+        else:
+            found, done = found.mapInArrow(lambda batches, t=tables: then(_searched(batches, t)), schema or plain), True
+    return found if done else found.mapInArrow(then, schema or plain)
 
 
 def _hit_words(hits: list[int]) -> int:
@@ -161,8 +172,8 @@ def _contaminated(hit: int, n: int) -> bool:
 def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = [len(words(t.as_py())) for t in batch["text"]]
-        hit = [_hit_words(h) for h in batch["__hits"].to_pylist()]
-        items = batch["__items"].to_pylist()
+        hit = [_hit_words(h) for h in batch.columns[-2].to_pylist()]
+        items = batch.columns[-1].to_pylist()
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch["doc_id"],
@@ -181,20 +192,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     A document is contaminated when words are hit and they are at least a
     twentieth of its words. Repeated rows give repeated results, an empty table
     gives an empty one, columns besides ``doc_id`` and ``text`` are left out.
-    ``items_sha256`` of a document without items is the digest of the empty string.
+    Texts are searched whole, however long. ``items_sha256`` of a document without items is the digest of the empty string.
     """
-    found = find_benchmark(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, window)
-    return found.mapInArrow(_verdicts, _RESULT)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return find_benchmark(rows, benchmark, window, then=_verdicts, schema=_RESULT)
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hit = map(_hit_words, batch["__hits"].to_pylist())
+        hit = map(_hit_words, batch.columns[-2].to_pylist())
         n = (len(words(t.as_py())) for t in batch["text"])
         yield batch.filter(pa.array([not _contaminated(h, k) for h, k in zip(hit, n)], pa.bool_()))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
-    found = find_benchmark(docs, benchmark, window)
-    return found.mapInArrow(_clean, found.schema).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = find_benchmark(docs, benchmark, window, then=_clean)
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,22 +18,23 @@ by hash): two documents that link have one of them in common. So no link is lost
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmeter.llm.common import kept_on_disk
+from reelmeter.llm.common import arrow_rows, discard, free_name, kept_on_disk
 from reelmeter.llm.components import components
 
 #: Buckets of the count sketch (two to the power of it); slices in which it travels.
 SKETCH_BITS, SLICES = 20, 64
 #: What a group holds, about: documents and tokens.
 GROUP_DOCS, GROUP_TOKENS = 48, 100_000
+#: Texts that a task gets at a time.
+TEXT_ROWS = 1_000
 
 #: A-Z lower-cased, other bytes as they are; white space is what ``bytes.split`` knows.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -243,18 +244,6 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
 
-@contextmanager
-def _arrow_rows(spark: SparkSession, rows: int):
-    """Fewer rows to an Arrow batch, for rows that are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _groups(classes: DataFrame) -> DataFrame:
     """``classes`` with ``group``: those with the same least token, dealt by hash where they are many."""
     sizes = classes.groupBy("least").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("tokens"))
@@ -297,11 +286,12 @@ def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> Dat
     all other pairs of groups that share a rare token, but for those that lie in one
     component already, where no link could tell anything new.
     """
+    spark = docs.sparkSession
     classes = described.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"),
         *[F.first(c).alias(c) for c in ("n_shingles", "least", "bits", "rare")],
     )
-    grouped, _ = kept_on_disk(_groups(classes), "groups")
+    grouped, grouped_path = kept_on_disk(_groups(classes), "groups")
     # the matrix: one row for each token and group, of tokens that several groups have
     cells = (
         grouped.select(F.explode("rare").alias("token"), "group", "n_shingles")
@@ -315,35 +305,40 @@ def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> Dat
         F.min_by("least", "group").alias("hub_least"),
         F.min_by("most", "group").alias("hub_most"),
     )
-    matrix, _ = kept_on_disk(cells.join(hubs.where("hub < last").drop("last"), "token"), "matrix")
-    several = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    matrix, matrix_path = kept_on_disk(cells.join(hubs.where("hub < last").drop("last"), "token"), "matrix")
+    several, _ = kept_on_disk(
+        grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group"), "several"
+    )
     # ranges of sizes rule out groups before they meet
     near = (100 * F.col("hub_most") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("hub_least"))
     stars = matrix.where(near & (F.col("group") != F.col("hub"))).select(F.col("group").alias("g1"), F.col("hub").alias("g2"))
     stars = stars.distinct().unionByName(several.select(F.col("group").alias("g1"), F.col("group").alias("g2")))
 
     wanted = matrix.select("group").unionByName(several).distinct()
-    chosen, _ = kept_on_disk(
+    chosen, chosen_path = kept_on_disk(
         grouped.join(wanted, "group", "left_semi").select("group", "doc_id", "key", "n_shingles", "bits"), "chosen"
     )
     ids = chosen.select(F.col("doc_id").alias("__id"), "key")
     texts = docs.join(ids, F.col("doc_id") == F.col("__id")).select("doc_id", "key", "text")
     # rows of one doc_id may differ in text; sets other than the wanted fall out
-    sets, _ = kept_on_disk(texts.mapInArrow(lambda t: _sets(t, size), "doc_id long, tokens binary"), "sets")
+    discard(spark, grouped_path)  # what follows has what it needs of them
+    with arrow_rows(spark, TEXT_ROWS):
+        sets, sets_path = kept_on_disk(texts.mapInArrow(lambda t: _sets(t, size), "doc_id long, tokens binary"), "sets")
 
     def members(parts: DataFrame) -> DataFrame:
         return parts.groupBy("group").agg(
             F.collect_list(F.struct("doc_id", "n_shingles", "bits", "component")).alias("members")
         )
 
-    with _arrow_rows(docs.sparkSession, 256):
+    with arrow_rows(docs.sparkSession, 256):
         alone = chosen.withColumn("component", F.col("doc_id"))
         first, _ = kept_on_disk(_true(_met(stars, members(alone), percent, True), sets, percent), "links")
         found = components(first)
         placed = chosen.join(found, F.col("doc_id") == F.col("node"), "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
-        placed, _ = kept_on_disk(placed.drop("node"), "placed")
+        placed, placed_path = kept_on_disk(placed.drop("node"), "placed")
+        discard(spark, chosen_path)
         spans = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         cells = matrix.select("token", "group", "least", "most").join(spans, "group")
         a, b = cells.alias("a"), cells.alias("b")
@@ -354,6 +349,7 @@ def links(docs: DataFrame, described: DataFrame, size: int, percent: int) -> Dat
         mixed = spans.where("low < high").select(F.col("group").alias("g1"), F.col("group").alias("g2"))
         more = _met(pairs.unionByName(mixed), members(placed), percent, False)
         second, _ = kept_on_disk(_true(more, sets, percent), "links")
+        discard(spark, matrix_path, placed_path, sets_path)
     return first.unionByName(second)
 
 
@@ -366,19 +362,24 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     link when 100 * |A and B| >= percent * |A or B|; ``component_id`` is the smallest
     doc_id that links lead to. A doc_id names a document: rows that share one may
     be taken as linked. Rows with a null doc_id get a null component. Other columns
-    are left out; an empty table gives an empty one.
+    are left out; an empty table gives an empty one. Texts are whole sets, however long; rows with equal sets are one class.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = spark.sparkContext.broadcast(token_counts(source, size))
-    described, _ = kept_on_disk(source.mapInArrow(lambda b: _described(b, counts, size, percent), _DESCRIBED), "described")
+    with arrow_rows(spark, TEXT_ROWS):
+        counts = spark.sparkContext.broadcast(token_counts(source, size))
+        described, path = kept_on_disk(
+            source.mapInArrow(lambda b: _described(b, counts, size, percent), _DESCRIBED), "described"
+        )
     found = components(links(source, described, size, percent))
+    described, _ = kept_on_disk(described.select("doc_id", "n_shingles", "key"), "keys")
+    discard(spark, path)
     least = described.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = least.join(found, F.col("first") == F.col("node"), "left").select(
         F.col("key").alias("__key"), F.coalesce("component", "first").alias("component_id")
     )
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    joined = described.drop("bits", "rare", "least").join(named, F.col("key") == F.col("__key"), "left")
+    joined = described.join(named, F.col("key") == F.col("__key"), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
@@ -389,13 +390,14 @@ def drop_similar(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     stay apart where their texts do not link. Of rows with the same doc_id and no
     words one stays; rows with a null doc_id all stay.
     """
-    named = docs.where("doc_id IS NOT NULL").withColumn("__row", F.monotonically_increasing_id())
+    row = free_name(docs.columns, "__row")
+    named = docs.where("doc_id IS NOT NULL").withColumn(row, F.monotonically_increasing_id())
     numbered, _ = kept_on_disk(named, "numbered")
-    found = similar_documents(numbered.select(F.col("__row").alias("doc_id"), "text"), size, percent)
-    found = found.withColumnRenamed("doc_id", "__row").join(numbered.select("__row", "doc_id"), "__row")
+    found = similar_documents(numbered.select(F.col(row).alias("doc_id"), "text"), size, percent)
+    found = found.withColumnRenamed("doc_id", "__row").join(numbered.select(F.col(row).alias("__row"), "doc_id"), "__row")
     wordless = F.col("n_shingles") == 0
     first = found.groupBy(
         F.when(wordless, F.col("doc_id")).alias("alone"), F.when(~wordless, F.col("component_id")).alias("component")
     ).agg(F.min(F.struct("doc_id", "__row")).alias("first"))
-    stay = numbered.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").drop("__row")
+    stay = numbered.join(first.select(F.col("first.__row").alias(row)), row, "left_semi").drop(row)
     return stay.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmeter.llm.common import SPACE, kept_on_disk
+from reelmeter.llm.common import SPACE, discard, free_name, kept_on_disk
 
 #: Distinct sites from which on a line is boilerplate.
 MIN_SITES = 10
@@ -51,16 +51,18 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
 
 
 def dedup_lines(
-    docs: DataFrame, site: str = "source", doc_id: str = "doc_id", min_sites: int = MIN_SITES, lg_k: int = LG_K
+    docs: DataFrame, site: str = "source", doc_id: str = "doc_id", min_sites: int = MIN_SITES, lg_k: int = LG_K,
+    count: str | None = "n_removed",
 ) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and ``n_removed`` (lines taken out).
+    """``docs`` with boilerplate lines taken out of ``text``, and ``count``, the lines taken out (None: no such column).
 
     Lines are the parts between newlines; parts without a word are never
     boilerplate. Of a boilerplate line the first occurrence stays, by (doc_id, place
     in the text). The other lines keep their order and their newlines. Null texts
     stay null, null doc_ids come last in the order, rows equal in doc_id and text
-    keep the same lines. All columns are kept, whatever their names; no row is
-    dropped, also when its text becomes empty.
+    keep the same lines. All columns are kept, whatever their names; where one is called as
+    ``count``, the added one has underscores behind its name. No row is dropped, also when its text
+    becomes empty. Texts may be of any length; an empty table gives an empty one.
 
     Texts are read once to hash their lines and once more to be cut; what is
     grouped and joined are hashes of lines and of rows, so a hot site, line or
@@ -73,8 +75,8 @@ def dedup_lines(
     hashed = unfolded.where(F.col("line").rlike(f"[^{SPACE}]")).select(
         "d1", "d2", "id", "pos", "site", *_hash128("l", F.col("line"))
     )
-    lines, _ = kept_on_disk(hashed, "lines")
-    found, _ = kept_on_disk(boilerplate(lines, min_sites, lg_k), "boilerplate")
+    lines, lines_path = kept_on_disk(hashed, "lines")
+    found, found_path = kept_on_disk(boilerplate(lines, min_sites, lg_k), "boilerplate")
     places = lines.join(found, ["l1", "l2"])
     order = F.struct(F.col("id").isNull(), "id", "d1", "d2", "pos")
     firsts = places.groupBy("l1", "l2").agg(F.min(order).alias("first"))
@@ -82,18 +84,21 @@ def dedup_lines(
         places.join(firsts, ["l1", "l2"])
         .where(F.struct(F.col("id").isNull(), "id", "d1", "d2", "pos") != F.col("first"))
         .groupBy("d1", "d2")
-        .agg(F.collect_set("pos").alias("__cut"))
+        .agg(F.collect_set("pos").alias("cut"))
     )
-    keyed = docs.withColumns({"__d1": key[0], "__d2": key[1]})
+    # places of what is taken out are few against all lines, which are not needed any more
+    cuts, _ = kept_on_disk(cuts, "cuts")
+    discard(docs.sparkSession, lines_path, found_path)
+    d1, d2, c1, c2, taken = (free_name(docs.columns, n) for n in ("__d1", "__d2", "__c1", "__c2", "__cut"))
+    keyed = docs.withColumns({d1: key[0], d2: key[1]})
     joined = keyed.join(
-        cuts.select(F.col("d1").alias("__c1"), F.col("d2").alias("__c2"), "__cut"),
-        (F.col("__d1") == F.col("__c1")) & (F.col("__d2") == F.col("__c2")),
+        cuts.select(F.col("d1").alias(c1), F.col("d2").alias(c2), F.col("cut").alias(taken)),
+        (F.col(d1) == F.col(c1)) & (F.col(d2) == F.col(c2)),
         "left",
     )
-    left = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("__cut"), i))
-    cut = F.when(F.col("__cut").isNull(), text).otherwise(F.array_join(left, "\n"))
+    left = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col(taken), i))
+    cut = F.when(F.col(taken).isNull(), text).otherwise(F.array_join(left, "\n"))
     others = [F.col(f"`{c}`") for c in docs.columns]
-    removed = F.when(F.col("__cut").isNull(), 0).otherwise(F.size("__cut")).cast("long")
-    return joined.select(
-        *[cut.alias(c) if c == "text" else o for c, o in zip(docs.columns, others)], removed.alias("n_removed")
-    )
+    removed = F.when(F.col(taken).isNull(), 0).otherwise(F.size(taken)).cast("long")
+    columns = [cut.alias(c) if c == "text" else o for c, o in zip(docs.columns, others)]
+    return joined.select(*columns, *([removed.alias(free_name(docs.columns, count))] if count else []))

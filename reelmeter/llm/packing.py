@@ -147,7 +147,8 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), per_task: int = PER
 def pack_documents(docs: DataFrame, capacity: Capacity = Capacity(), tokenizer: str | None = None) -> DataFrame:
     """Pieces of all documents with their places.
 
-    Null and empty texts are a piece with the end id alone. Repeated rows and
+    An empty table gives an empty one; texts of any length are cut into pieces of a whole sequence, and pieces of equal
+    length are taken in the order in which they arrive. Null and empty texts are a piece with the end id alone. Repeated rows and
     equal doc_ids are packed like any others, null doc_ids stay null, other
     columns are left out.
     """

@@ -154,6 +154,7 @@ def quality_rules(
     """Measures and verdict of every row of ``docs``: columns ``keep``, then measures, base_failed, host_rejected, kept.
 
     A row is kept when it passes the base rules and its host is not rejected.
+    Texts are measured whole, however long; a null text is measured as empty. A rate that equals its limit passes.
     Rows without a host are judged by themselves. Repeated rows count as often as
     they occur; an empty table gives an empty one; columns that are not named are
     left out, and so may have any names. Texts are read once: what is joined are

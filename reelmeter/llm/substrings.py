@@ -191,7 +191,7 @@ def substring_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, least_run
     ``least_run`` words; ``shares_with`` lists, for such documents, the other ids found
     (the smallest of each chunk, or the largest for the document that is the smallest; where
     a passage begins, chunks depend on the words before it and may join some of its documents only).
-    Rows of equal doc_id are one document here, a null doc_id is an id of its own;
+    An empty table gives an empty one; texts of any length are chunked whole. Rows of equal doc_id are one document here, a null doc_id is an id of its own;
     null and empty texts have no words, texts below ``least_words`` no chunk. Other
     columns are left out.
     """

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmeter.llm.common import discard, free_name, kept_on_disk
+from reelmeter.llm.common import arrow_rows, discard, free_name, kept_on_disk
 
 # Letters that look alike, signs that stand for letters.
 LOOK_ALIKES = {
@@ -231,9 +231,11 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, entries
     bound = odds - 2 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
     # somewhat below the bound too: leaving out a clean document may lift an entry over it
     best = counts.where("p >= 3").withColumn("b", bound).where("b > 0.5").orderBy(F.desc("b"), "entry").limit(entries)
-    lexicon = Lexicon({r.entry: (r.p, r.n) for r in best.collect()}, toxic, clean)
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    sample = training.select("text", "toxic").mapInArrow(lambda b: _featured(b, shared), "x array<double>, y int").toPandas()
+    with arrow_rows(docs.sparkSession, 1_000):
+        lexicon = Lexicon({r.entry: (r.p, r.n) for r in best.collect()}, toxic, clean)
+        shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+        sample = training.select("text", "toxic").mapInArrow(lambda b: _featured(b, shared), "x array<double>, y int")
+        sample = sample.toPandas()
     lexicon.curve = fit_curve(np.stack(sample["x"].to_list()), sample["y"].to_numpy(float))
     discard(docs.sparkSession, path)
     return lexicon
@@ -255,7 +257,7 @@ def with_scores(docs: DataFrame, lexicon: Lexicon, name: str = "__score") -> Dat
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``.
 
-    Scores depend on the text alone. Repeated rows give repeated results; a null
+    Scores depend on the whole text alone, however long; a score that equals the threshold counts as toxic. Repeated rows give repeated results; a null
     doc_id is not held out; other columns are left out; an empty table gives an empty one.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

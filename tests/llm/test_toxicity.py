@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -87,3 +88,38 @@ def test_few_labels(spark, odd_documents, no_documents, kind):
     assert len(found) == odd_documents.count() and not any(r["held_out"] for r in found if r["doc_id"] is None)
     assert t.toxicity(no_documents, labels).count() == 0
     assert t.drop_toxic(odd_documents, labels).columns == odd_documents.columns
+
+
+def plain_features(lexicon, text):
+    """Every entry looked for at every place, without an automaton."""
+    folded = t.fold(text)
+    entries = set(lexicon.counts) | lexicon.seeds
+    places = lambda x: [i for i in range(len(folded)) if folded.startswith(x, i)]
+    found = {}
+    for entry in entries:
+        w = t.weight(*lexicon.counts.get(entry, (0, 0)), lexicon.toxic, lexicon.clean, entry in lexicon.seeds)
+        for i in places(entry):
+            if w > 0:
+                found[i] = max(w, found.get(i, 0.0))
+    for phrase in lexicon.harmless:
+        for a in places(f" {phrase} "):
+            for i in range(a, a + len(phrase) + 1):  # the blank behind it begins what follows
+                found.pop(i, None)
+    total, words = sum(found.values()), len(folded.split()) or 1
+    return [1.0, math.log1p(total), math.log1p(100 * total / words), max(found.values(), default=0.0), math.log1p(len(found))]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_automaton_against_plain_search(seed):
+    rng = random.Random(seed)
+    words = ["stupid", "stupidity", "stu", "trash", "can", "clown", "fish", "graf", "grafter", "idiot", "1d10t", "ok", "trаsh", "ﬁne", ""]
+    counts = {f" {w} ": (rng.randint(0, 30), rng.randint(0, 5)) for w in ("stupid", "graf", "ok", "can")}
+    counts |= {f" {w}": (rng.randint(0, 30), rng.randint(0, 5)) for w in ("stu", "stup", "gra", "graf", "tra", "idi")}
+    lexicon = t.Lexicon(counts, 40, 400)
+    matcher = lexicon.matcher()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(40)] + [None, "", "trash can", "x" * 50_000 + " idiot"]
+    for text in texts:
+        want = plain_features(lexicon, text)
+        assert matcher.features(text) == pytest.approx(want), text
+        z = sum(a * b for a, b in zip(want, lexicon.curve))
+        assert matcher.score(text) == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
