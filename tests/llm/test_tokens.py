@@ -50,6 +50,49 @@ def test_slices_and_forgetting(monkeypatch):
     assert _encoded(TEXTS * 3) == [brute.token_ids(t) for t in TEXTS * 3]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aséß÷ÿtA'.,<|>\"1 \n", max_size=30), min_size=1, max_size=5))
+def test_letters_and_marks(texts):
+    assert _encoded(texts) == [brute.token_ids(t) for t in texts]
+
+
+def _invented(n):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return ["".join(letters[k // 26**i % 26] for i in range(4)) for k in range(n)]
+
+
+def test_words_are_encoded_once(monkeypatch):
+    """120,000 words, each with three marks behind it, within the bytes that are remembered."""
+    from reelmeter.llm import tokens
+
+    words, found = _invented(120_000), tokens.WordTokens(tokenizer_path())
+    texts = [" ".join(w + mark for w in words[k : k + 5000]) for mark in (".", ",", ")") for k in range(0, 120_000, 5000)]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[k : k + 24])}) for k in (0, 24, 48)]
+    for batch in batches[:1]:
+        list(found.documents(batch))
+    encoded, plain = [], found._encode
+    monkeypatch.setattr(found, "_encode", lambda w: encoded.append(len(w)) or plain(w))
+    for batch in batches:
+        list(found.documents(batch))
+    assert sum(encoded) == 2  # the other two marks
+
+
+def test_remembered_bytes_are_bounded(monkeypatch):
+    from reelmeter.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 100_000)
+    monkeypatch.setattr(tokens, "TOGETHER", 50_000)
+    monkeypatch.setattr(tokens, "AT_ONCE", 20_000)
+    monkeypatch.setattr(tokens, "_WORDS", 700)
+    found, words = tokens.WordTokens(tokenizer_path()), _invented(30_000)
+    texts = [" ".join(words[k : k + 1000]) for k in range(0, 30_000, 1000)] * 2 + ["x" * 50_000]
+    got = []
+    for _, ids, ends in found.documents(pa.RecordBatch.from_pydict({"text": pa.array(texts)})):
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert found.known.words.nbytes + found.known.ids.nbytes <= 100_000
+    assert got == [brute.token_ids(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.sampled_from(["bit", "byte"]))
 def test_planes(ids, planes):
