@@ -157,6 +157,21 @@ def test_packing(spark):
         assert list(s["starts"]) == [o for o, _, _ in want]
 
 
+def test_pieces_encode_words_once(monkeypatch):
+    """Pieces of texts whose words came before, in other order and with other marks, need nothing encoded but a mark."""
+    words = _invented(100_000)
+    first = [(k, " ".join(words[k : k + 5000])) for k in range(0, 100_000, 5000)]
+    again = [(k, "; ".join(words[k % 20 :: 20])) for k in range(20)]
+    rows = [pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in x], "text": [t for _, t in x]}) for x in (first, again)]
+    tokens = word_tokens(tokenizer_path())
+    list(packing._pieces(iter(rows[:1]), tokenizer_path(), 4096))
+    encoded, plain = [], tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda w: encoded.append(len(w)) or plain(w))
+    got = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"])
+           for b in packing._pieces(iter(rows[1:]), tokenizer_path(), 4096) for r in b.to_pylist()}
+    assert got == brute.pieces(again) and sum(encoded) <= 1
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity(rule):
     r = np.random.default_rng(2)
