@@ -17,9 +17,11 @@ from reelmeter.fixed_values import OTHER_BUCKET, SUBJECT_BUCKETS
 from reelmeter.functions.arithmetic import whole
 from reelmeter.functions.text import bucket, strip_pad
 from reelmeter.operators.ordering import attach
-from reelmeter.session import few_rows, stored
+from reelmeter.session import few_rows, stored, tasks_for
 
 PART_FRAMES = 4096
+#: Frames whose counts per label a task gathers.
+TASK_FRAMES = 125_000
 
 
 def by_field(name: str):
@@ -155,15 +157,18 @@ def frame_counts(frames: DataFrame, detections: DataFrame, buckets=SUBJECT_BUCKE
 
     One pass: detections shrink to counts per label before the shuffle, and
     both counts are read off the labels of a frame. The map has no more
-    entries than the detector has classes.
+    entries than the detector has classes. Counts and frames meet in tasks of
+    about ``TASK_FRAMES`` frames, which are counted first.
     """
     names = _bucket_names(buckets)
+    tasks, frame = tasks_for(frames, TASK_FRAMES), ["clip_id", "frame_no"]
     label_bucket = bucket(F.col("label"), buckets)
     named = F.when(F.col("label") != "total", F.struct("label", F.col("n").cast("int")))
     counted = (
         label_counts(detections)
+        .repartition(tasks, *frame)
         .withColumn("_b", label_bucket)
-        .groupBy("clip_id", "frame_no")
+        .groupBy(*frame)
         .agg(
             F.map_from_entries(F.array_sort(F.collect_list(named))).alias("_m"),
             F.sum(F.when(F.col("label") != "total", F.col("n"))).cast("int").alias("_t"),
@@ -174,8 +179,9 @@ def frame_counts(frames: DataFrame, detections: DataFrame, buckets=SUBJECT_BUCKE
     empty = F.create_map().cast("map<string,int>")
     labelled_total = F.create_map(F.lit("total"), F.coalesce("_t", F.lit(0)))
     return (
-        frames.select("clip_id", "frame_no")
-        .join(counted, ["clip_id", "frame_no"], "left")
+        frames.select(*frame)
+        .repartition(tasks, *frame)
+        .join(counted, frame, "left")
         .select(
             "clip_id",
             "frame_no",

@@ -120,3 +120,12 @@ def few_rows(df: DataFrame, limit: int = 1000) -> list[Row]:
 def task_count(spark: SparkSession) -> int:
     """Partitions of an explicit repartitioning: those of the session's shuffles."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Partitions of about ``rows`` rows of ``df`` each, at least one for every core.
+
+    Shuffles that are sized by their compressed bytes put more rows into a task the better these compress; where tasks
+    hold sorted or hashed rows, their number is what bounds a task. ``df`` is counted, so it should be cheap to scan.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, 1 + df.count() // rows)

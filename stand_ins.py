@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from reelmeter.functions.frames import to_gray
 from reelmeter.operators.ordering import dense_index
-from reelmeter.session import scratch_path
+from reelmeter.session import scratch_path, tasks_for
 from reelmeter.sources.frame_store import write_frame_store
 
 # Buckets for part names: colour and temperature words, then sizes.
 PART_BUCKETS = (("warm", ("red", "hot")), ("cool", ("blue", "cold")), ("big", ("large",)), ("little", ("small",)))
 
+#: Order lines that a task joins to their orders.
+TASK_LINES = 500_000
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -84,13 +87,18 @@ def detection_frames(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf: str) -> DataFrame:
-    """A detection per order line: the part's name, the quantity as confidence."""
+    """A detection per order line: the part's name, the quantity as confidence.
+
+    Partitions are bounded by lines: sorts and counts of what the join puts together stay in its tasks.
+    """
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     names = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     frames = detection_frames(spark, sf).withColumnRenamed("frame_no", "l_orderkey")
+    tasks = tasks_for(lines, TASK_LINES)
     return (
         lines.join(names, "l_partkey")
-        .join(frames, "l_orderkey")
+        .repartition(tasks, "l_orderkey")
+        .join(frames.repartition(tasks, "l_orderkey"), "l_orderkey")
         .select(
             "clip_id",
             F.col("l_orderkey").alias("frame_no"),

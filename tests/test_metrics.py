@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import stand_ins
 from reelmeter.functions import vectors
 from reelmeter.operators import metrics
 from reelmeter.sources.files import default_questions, drop_prompt_questions
@@ -152,3 +153,23 @@ def test_image_normalise(spark):
     got = df.select(vectors.image_normalise(F.col("p")).alias("x")).first().x
     x = np.array([[0, 128, 255], [255, 0, 1]]) / 255
     assert np.allclose(got, ((x - [0.485, 0.456, 0.406]) / [0.229, 0.224, 0.225]).ravel(), atol=1e-6)
+
+
+def _rows_in_tasks(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_tasks_of_frame_counts_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "TASK_FRAMES", 20, raising=False)
+    frames = spark.range(2000).selectExpr("id % 7 AS clip_id", "id AS frame_no")
+    seen = frames.crossJoin(spark.range(3).selectExpr("concat('Thing', id) AS label")).where("frame_no % 5 > 0")
+    counts = metrics.raw_counts(frames, seen)
+    assert counts.count() == 2000 and max(_rows_in_tasks(counts)) <= 60
+    assert counts.select(F.map_entries("raw_counts").alias("e")).where("size(e) = 4").count() == 1600
+
+
+def test_tasks_of_detections_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(stand_ins, "TASK_LINES", 100, raising=False)
+    found = stand_ins.detections(spark, "/root/testdata/sf0.001")
+    assert found.count() == stand_ins.table(spark, "/root/testdata/sf0.001", "lineitem").count()
+    assert max(_rows_in_tasks(found)) <= 300
